@@ -39,14 +39,16 @@ def _alert(df: DataFrame, alert_type: str, severity: str, description: Column, m
 def reject_ratio(validated: DataFrame, batch_col: str = "micro_batch", valid_col: str = "is_valid") -> DataFrame:
     """One row per micro-batch: records, valid records, ratio, the id of the
     batch's newest message by (timestamp, partition, offset) (D2) and the
-    newest fetch time (the batch's ``as_of``)."""
+    newest fetch time (the batch's ``as_of``). The ratio is rejected / total:
+    ``1 - valid / total`` would give 0.020000000000000018 for 2 rejects in
+    100 and break the strict threshold."""
     newest = F.struct("timestamp", "partition", "offset")
     return (validated.groupBy(batch_col).agg(
         F.count(F.lit(1)).alias("n_total"),
         F.count_if(F.col(valid_col)).alias("n_valid"),
         F.max_by("batch_id", newest).alias("batch_id"),
         F.max("fetched_at").alias("as_of"),
-    ).withColumn("reject_ratio", F.lit(1.0) - F.col("n_valid").cast("double") / F.col("n_total")))
+    ).withColumn("reject_ratio", (F.col("n_total") - F.col("n_valid")).cast("double") / F.col("n_total")))
 
 
 def reject_rate_alerts(ratios: DataFrame, feed_label: str, source: str) -> DataFrame:

@@ -164,8 +164,8 @@ def bikes_histogram(readings: DataFrame, bins: int = S.HISTOGRAM_BINS, col: str
     kept with 0. min = max widens the range by 0.5 each side. The bounds are
     scalar subqueries, not a join."""
     stats = readings.agg(F.min(col).cast("double").alias("mn"), F.max(col).cast("double").alias("mx"))
-    mn0 = stats.select("mn").scalar()
-    mx0 = stats.select("mx").scalar()
+    bounds = stats.select(F.struct("mn", "mx")).scalar()   # one subquery, reused
+    mn0, mx0 = bounds["mn"], bounds["mx"]
     same = mn0 == mx0
     mn = F.when(same, mn0 - 0.5).otherwise(mn0)
     mx = F.when(same, mx0 + 0.5).otherwise(mx0)

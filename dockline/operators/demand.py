@@ -49,7 +49,7 @@ def _features_pipeline(regressor) -> Pipeline:
     idx = StringIndexer(inputCols=FEATURES_CAT, outputCols=[f"{c}_idx" for c in FEATURES_CAT],
                         handleInvalid="keep", stringOrderType="alphabetAsc")
     ohe = OneHotEncoder(inputCols=[f"{c}_idx" for c in FEATURES_CAT],
-                        outputCols=[f"{c}_ohe" for c in FEATURES_CAT], dropLast=True, handleInvalid="keep")
+                        outputCols=[f"{c}_ohe" for c in FEATURES_CAT], dropLast=True)
     asm = VectorAssembler(inputCols=FEATURES_NUM + [f"{c}_ohe" for c in FEATURES_CAT], outputCol="features")
     return Pipeline(stages=[idx, ohe, asm, regressor])
 

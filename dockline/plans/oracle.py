@@ -84,12 +84,12 @@ st_parsed AS (
 av_ratio AS (
   SELECT micro_batch, count(*) AS n_total, count(*) FILTER (WHERE is_valid) AS n_valid,
     arg_max(batch_id, "partition" * 1000000000000 + "offset") AS batch_id, max(fetched_at) AS as_of,
-    1.0 - (count(*) FILTER (WHERE is_valid))::double / count(*) AS reject_ratio
+    (count(*) FILTER (WHERE NOT is_valid))::double / count(*) AS reject_ratio
   FROM av_parsed GROUP BY micro_batch),
 st_ratio AS (
   SELECT micro_batch, count(*) AS n_total, count(*) FILTER (WHERE is_valid) AS n_valid,
     arg_max(batch_id, "partition" * 1000000000000 + "offset") AS batch_id, max(fetched_at) AS as_of,
-    1.0 - (count(*) FILTER (WHERE is_valid))::double / count(*) AS reject_ratio
+    (count(*) FILTER (WHERE NOT is_valid))::double / count(*) AS reject_ratio
   FROM st_parsed GROUP BY micro_batch),
 av_fresh AS (
   SELECT micro_batch, arg_max(batch_id, "partition" * 1000000000000 + "offset") AS batch_id,

@@ -182,7 +182,7 @@ def constraint_violations(spark, d):
     """F8 over the availability feed: fact rows that break the readings
     table, and the station attributes they carry (stub candidates) that break
     the stations table. Such rows go to quarantine instead of aborting."""
-    av = J.availability_parsed(spark, d)
+    av = J.availability_parsed(spark, d).filter("is_valid")
     facts = av.select("station_id", "observed_at", R.reading_row_violation().alias("violation")) \
         .withColumn("table_name", F.lit("disponibilite_releve"))
     stubs = (av.select("station_id", "name", "latitude", "longitude", "capacity", "commune").distinct()
@@ -379,8 +379,9 @@ def pipeline_kpis(spark, d):
         F.count_distinct("micro_batch").alias("n_batches"),
         F.min("micro_batch").alias("_b0"), F.max("micro_batch").alias("_b1"))
     n_alerts = J.all_alerts(spark, d).select(F.count(F.lit(1))).scalar()
-    out = msg.withColumns({c: rec.select(c).scalar() for c in
-                           ["n_records", "n_rejected", "avg_feed_latency_min", "n_batches", "_b0", "_b1"]})
+    # one scalar subquery returning a struct: the record aggregate runs once
+    out = msg.withColumn("_r", rec.select(F.struct(*rec.columns)).scalar()).select(
+        "n_messages", "n_malformed", "_r.*")
     expected = F.floor(T.minutes_between(F.col("_b1"), F.col("_b0")) / 60).cast("bigint") + 1
     return out.select(
         "n_messages", "n_malformed", "n_records", "n_rejected",
