@@ -119,11 +119,13 @@ def availability_records(spark: SparkSession, d: str) -> DataFrame:
                     rec.alias("record"))
 
 
-def _paged(df: DataFrame, slot: str, key: str) -> DataFrame:
+def _paged(df: DataFrame, slot: str, key: str, counts: DataFrame | None = None) -> DataFrame:
     """Split each slot into pages of about PAGE_SIZE records: pages =
     ceil(n / PAGE_SIZE), page = key mod pages. The per-slot counts are one row
-    per slot (bounded by the time span), so the join back is a small build side."""
-    counts = df.groupBy(slot).agg(F.count(F.lit(1)).alias("_n"))
+    per slot (bounded by the time span), so the join back is a small build
+    side; ``counts`` (slot, _n) may come from a cheaper source than ``df``."""
+    if counts is None:
+        counts = df.groupBy(slot).agg(F.count(F.lit(1)).alias("_n"))
     return (df.join(counts, slot)
               .withColumn("_pages", F.ceil(F.col("_n") / F.lit(S.PAGE_SIZE)))
               .withColumn("page", F.pmod(F.col(key), F.col("_pages")))
@@ -156,7 +158,11 @@ def availability_envelopes(spark: SparkSession, d: str) -> DataFrame:
     """Hourly fetches of the availability feed, paged by PAGE_SIZE: one
     envelope per (hour, page), fetched at the end of the hour. Columns: the
     Kafka record shape plus ``fetched_at`` (ntz), ``batch_id``, ``n_results``."""
-    rec = _paged(availability_records(spark, d), "slot", "event_id")
+    # one availability record per event: count the slots from the timestamp column alone
+    counts = (table(spark, d, "events", "ts")
+              .groupBy(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("slot"))
+              .agg(F.count(F.lit(1)).alias("_n")))
+    rec = _paged(availability_records(spark, d), "slot", "event_id", counts)
     env = (rec.groupBy("slot", "page")
               .agg(F.array_sort(F.collect_list(F.struct("observed_at", "station_id", "event_id", "record")))
                    .alias("_items")))
