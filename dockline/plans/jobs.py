@@ -19,6 +19,14 @@ def availability_decoded(spark: SparkSession, d: str) -> DataFrame:
     return P.decode(P.with_arrival_hour(FX.availability_messages(spark, d)), SC.AVAILABILITY_RESULT)
 
 
+def availability_decoded_once(spark: SparkSession, d: str) -> DataFrame:
+    """The decoded topic written once as a table in the shared checkpoint
+    folder, for queries whose branches each need it with different columns
+    (so Spark cannot reuse a shuffle between them)."""
+    from ..session import materialize
+    return materialize(availability_decoded(spark, d), "decoded")
+
+
 def availability_parsed(spark: SparkSession, d: str, decoded: DataFrame | None = None) -> DataFrame:
     dec = decoded if decoded is not None else availability_decoded(spark, d)
     av = P.project_availability(P.explode_records(dec, keep=KEEP))
@@ -36,9 +44,9 @@ def stations_parsed(spark: SparkSession, d: str) -> DataFrame:
               .withColumn("is_valid", F.col("reject_reason").isNull()))
 
 
-def all_alerts(spark: SparkSession, d: str) -> DataFrame:
+def all_alerts(spark: SparkSession, d: str, dec: DataFrame | None = None) -> DataFrame:
     """Every alert kind over the derived feeds (alerts_v)."""
-    dec = availability_decoded(spark, d)
+    dec = dec if dec is not None else availability_decoded_once(spark, d)
     av = availability_parsed(spark, d, dec)
     st = stations_parsed(spark, d)
     return AL.union_alerts(

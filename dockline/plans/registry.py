@@ -368,7 +368,7 @@ def latest_alerts(spark, d):
 @query("pipeline_kpis")
 def pipeline_kpis(spark, d):
     """Q7: share rejected, alert count, feed latency and feed availability."""
-    dec = J.availability_decoded(spark, d)
+    dec = J.availability_decoded_once(spark, d)
     av = J.availability_parsed(spark, d, dec)
     msg = dec.agg(F.count(F.lit(1)).alias("n_messages"), F.count_if("is_corrupt").alias("n_malformed"))
     rec = av.agg(
@@ -378,7 +378,7 @@ def pipeline_kpis(spark, d):
          .alias("avg_feed_latency_min"),
         F.count_distinct("micro_batch").alias("n_batches"),
         F.min("micro_batch").alias("_b0"), F.max("micro_batch").alias("_b1"))
-    n_alerts = J.all_alerts(spark, d).select(F.count(F.lit(1))).scalar()
+    n_alerts = J.all_alerts(spark, d, dec).select(F.count(F.lit(1))).scalar()
     # one scalar subquery returning a struct: the record aggregate runs once
     out = msg.withColumn("_r", rec.select(F.struct(*rec.columns)).scalar()).select(
         "n_messages", "n_malformed", "_r.*")

@@ -70,3 +70,12 @@ def shared_path(spark: SparkSession, name: str) -> str:
     writes to cut lineage or to hand data to a later step."""
     base = _ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, name: str):
+    """Cut lineage by writing ``df`` as Parquet under the shared checkpoint
+    folder and reading it back: one job, survives executor loss, and the
+    read is vectorised and prunable."""
+    path = shared_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
