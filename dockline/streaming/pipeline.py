@@ -135,7 +135,9 @@ def process_batch(batch: DataFrame, epoch_id: int, root: str, feed: str, run: st
             new = M.reading_insert(prior, good, P.order_key(), P.FACT_COLS)
             new = new.withColumn("ingested_at", F.current_timestamp().cast("timestamp_ntz")) \
                      .withColumn("obs_date", F.to_date("observed_at"))
-            _write(new, _epoch_path(root, "readings", run, epoch_id))
+            # partitioned by observation date: the semi join on the batch's dates
+            # above becomes dynamic partition pruning of the history scan
+            _write(new, _epoch_path(root, "readings", run, epoch_id), partition_by=["obs_date"])
             stub_src = valid.select("station_id", "name", "latitude", "longitude", "capacity", "fetched_at",
                                     "partition", "offset", "pos")
             commune_src = valid.filter(F.col("commune").isNotNull() & (F.col("commune") != "")).select(
