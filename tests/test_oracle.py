@@ -10,10 +10,11 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 from check_oracle import rows_of  # noqa: E402
 
 import __spark_entry__ as E  # noqa: E402
+from dockline.plans import oracle, registry  # noqa: E402
 from dockline.sources.tables import TABLES  # noqa: E402
 
 D = "/root/testdata/sf0.001"
-SQL = E.oracle_sql()
+SQL = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -25,9 +26,10 @@ def con():
 
 
 def test_every_key_is_registered():
-    assert len(E.queries()) == 56
-    assert set(SQL) <= set(E.queries())
-    assert set(E.queries()) - set(SQL) == {"model_comparison", "feature_importance", "prediction_vs_actual"}
+    keys = set(registry.queries())
+    assert len(keys) == 56 and keys <= set(E.queries())
+    assert set(SQL) <= keys and set(SQL) <= set(E.oracle_sql())
+    assert keys - set(SQL) == {"model_comparison", "feature_importance", "prediction_vs_actual"}
 
 
 @pytest.mark.parametrize("key", sorted(SQL))
