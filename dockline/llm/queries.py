@@ -3,6 +3,8 @@ from __future__ import annotations
 
 from .. import session as SESSION
 from . import common as C
+from . import mixing as Q8
+from . import neardup as Q10
 from . import quality as Q9
 
 QUERIES, ORACLE = {}, {}
@@ -24,3 +26,13 @@ def query(name: str, oracle: str | None = None):
 @query("op9_quality_rules", Q9.ORACLE)
 def op9(spark, d):
     return Q9.rules(C.table(spark, d, "documents")).drop("lang", "source")
+
+
+@query("op8_mixing")
+def op8(spark, d):
+    return Q8.mix(C.table(spark, d, "documents")).taken().drop("source")
+
+
+@query("op10_near_dedup")
+def op10(spark, d):
+    return Q10.near_duplicates(C.table(spark, d, "documents"))
