@@ -15,8 +15,8 @@ here on. Texts that meet are compared exactly:
 
 1. every text of a bucket with one representative of it, drawn by a hash that
    differs between buckets: as many comparisons as texts, not pairs of texts;
-2. links found so far give classes; then, in buckets where several classes are
-   left, texts of different classes are compared with each other.
+2. links found so far give classes; then the texts of buckets where several
+   classes are left are compared across classes, by an exact prefix-filtered join.
 
 A link inside a class changes nothing, so no link is lost. The classes are
 the connected components.
@@ -44,7 +44,7 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 24, 5
 K = BANDS * ROWS
-SALTS = 3                     # kinds of representative
+SALTS = 6                     # kinds of representative
 CELLS = 100_000               # shingles hashed together
 _U = np.uint64
 _MUL = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
@@ -151,20 +151,43 @@ def _units(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({"tid": part["tid"], "u": [units(shingles(t)).view(np.int64) for t in part["text"]]})
 
 
-def _verified(pairs: DataFrame, keyed: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) of text ids with similarity ``THRESHOLD`` or more."""
-    need = pairs.select(F.explode(F.array("a", "b")).alias("tid")).distinct()
-    who = texts.join(need, "tid").select("tid", F.col("key").alias("k"), F.col("min_doc"))
+def _unit_sets(tids: DataFrame, keyed: DataFrame, texts: DataFrame) -> DataFrame:
+    """(tid, u): the shingles of the texts named."""
+    who = texts.join(tids, "tid").select("tid", F.col("key").alias("k"), F.col("min_doc"))
     # one row for each text: that of its smallest doc_id
     rows = (keyed.join(who, (F.col("key") == F.col("k")) & F.col("doc_id").eqNullSafe(F.col("min_doc")))
             .select("tid", "text"))
-    u = C.materialize(rows.mapInPandas(_units, "tid long, u array<long>").dropDuplicates(["tid"]), "near-units")
+    return rows.mapInPandas(_units, "tid long, u array<long>").dropDuplicates(["tid"])
+
+
+def _similar(pairs: DataFrame, u: DataFrame) -> DataFrame:
+    """The pairs (a, b) of text ids with similarity ``THRESHOLD`` or more."""
     both = (pairs.join(u.select(F.col("tid").alias("a"), F.col("u").alias("ua")), "a")
             .join(u.select(F.col("tid").alias("b"), F.col("u").alias("ub")), "b"))
     both = both.withColumn("i", F.size(F.array_intersect("ua", "ub")))
     return both.filter(F.col("i") >= THRESHOLD * (F.size("ua") + F.size("ub") - F.col("i")) - 1e-9).select("a", "b")
 
 
+def _across(u: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs of texts of different labels that can reach ``THRESHOLD``, by prefix filter: with the
+    shingles of each text in one order, rare ones first, two texts that similar share one among
+    the first ``n - ceil(THRESHOLD n) + 1``. A text edited beyond the threshold has its own
+    edits there and meets nobody, however large the group it comes from."""
+    one = u.select("tid", F.size("u").alias("n"), F.explode("u").alias("e"))
+    often = one.groupBy("e").agg(F.count("*").alias("f"))
+    first = (one.join(often, "e").groupBy("tid", "n").agg(F.sort_array(F.collect_list(F.struct("f", "e"))).alias("s"))
+             .withColumn("s", F.slice("s", F.lit(1), F.col("n") - F.ceil(F.col("n") * THRESHOLD - 1e-9).cast("int") + 1))
+             .select("tid", "n", F.posexplode("s").alias("p", "s")).filter("s.f > 1")
+             .select("tid", "n", "p", F.col("s.e").alias("e")).join(labels, "tid"))
+    first = C.materialize(first, "near-prefix")
+    x, y = first.alias("x"), first.alias("y")
+    c = lambda n: F.col(n)
+    least = THRESHOLD / (1 + THRESHOLD) * (c("x.n") + c("y.n")) - 1e-9           # shared shingles needed
+    return (x.join(y, (c("x.e") == c("y.e")) & (c("x.label") < c("y.label")) & (c("x.n") >= THRESHOLD * c("y.n") - 1e-9)
+                   & (c("y.n") >= THRESHOLD * c("x.n") - 1e-9) & (F.least(c("x.n") - c("x.p"), c("y.n") - c("y.p")) >= least))
+            .select(F.least(c("x.tid"), c("y.tid")).alias("a"), F.greatest(c("x.tid"), c("y.tid")).alias("b")).distinct())
+
+
 def classes(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, key (of the text; null without words), class_id."""
     key = F.when(F.col("text").rlike(C.HAS_WORD), F.md5("text"))
@@ -181,20 +204,20 @@ def classes(docs: DataFrame) -> DataFrame:
     members = C.materialize(put.join(full, "bucket"), "near-members")
     pair = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
     tried = C.materialize(members.filter("tid != rep").select(*pair("tid", "rep")).distinct(), "near-pairs")
-    links = C.materialize(_verified(tried, keyed, texts), "near-links")
+    met = tried.select(F.explode(F.array("a", "b")).alias("tid")).distinct()
+    u = C.materialize(_unit_sets(met, keyed, texts), "near-units")
+    links = C.materialize(_similar(tried, u), "near-links")
     found = components(links)
 
     big = (members.filter("n > 2").join(found, F.col("tid") == F.col("node"), "left")
            .select("bucket", "tid", F.coalesce("label", "tid").alias("label")))
     several = big.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo != hi").select("bucket")
-    open_ = C.materialize(big.join(several, "bucket"), "near-open")
-    x, y = open_.alias("x"), open_.alias("y")
-    rest = (x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.label") < F.col("y.label")))
-            .select(*pair(F.col("x.tid"), F.col("y.tid"))).distinct().join(tried, ["a", "b"], "left_anti"))
-    rest = C.materialize(rest, "near-pairs")
-    if rest.limit(1).count():
-        more = C.materialize(_verified(rest, keyed, texts), "near-links")
-        found = components(links.union(more))
+    open_ = C.materialize(big.join(several, "bucket").select("tid", "label").distinct(), "near-open")
+    if open_.limit(1).count():
+        rest = C.materialize(_across(u.join(open_.select("tid"), "tid"), open_).join(tried, ["a", "b"], "left_anti"), "near-pairs")
+        more = C.materialize(_similar(rest, u), "near-links")
+        if more.limit(1).count():
+            found = components(links.union(more))
 
     named = texts.join(found, F.col("tid") == F.col("node"), "left").select("key", "min_doc", F.coalesce("label", "tid").alias("label"))
     ids = named.groupBy("label").agg(F.min("min_doc").alias("class_id"))

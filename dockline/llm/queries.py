@@ -3,6 +3,7 @@ from __future__ import annotations
 
 from .. import session as SESSION
 from . import common as C
+from . import decontaminate as Q6
 from . import mixing as Q8
 from . import neardup as Q10
 from . import quality as Q9
@@ -36,3 +37,8 @@ def op8(spark, d):
 @query("op10_near_dedup")
 def op10(spark, d):
     return Q10.near_duplicates(C.table(spark, d, "documents"))
+
+
+@query("op6_decontaminate")
+def op6(spark, d):
+    return Q6.leaks(C.table(spark, d, "documents"), C.table(spark, d, "benchmark"))
