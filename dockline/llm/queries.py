@@ -7,6 +7,7 @@ from . import decontaminate as Q6
 from . import mixing as Q8
 from . import neardup as Q10
 from . import quality as Q9
+from . import toxicity as Q5
 
 QUERIES, ORACLE = {}, {}
 
@@ -42,3 +43,8 @@ def op10(spark, d):
 @query("op6_decontaminate")
 def op6(spark, d):
     return Q6.leaks(C.table(spark, d, "documents"), C.table(spark, d, "benchmark"))
+
+
+@query("op5_toxicity")
+def op5(spark, d):
+    return Q5.toxicity(C.table(spark, d, "documents"), C.table(spark, d, "labels"))
