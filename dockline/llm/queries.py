@@ -1,12 +1,15 @@
 """The corpus queries: name -> job, and the SQL for those that SQL can state."""
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from .. import session as SESSION
 from . import common as C
 from . import decontaminate as Q6
 from . import mixing as Q8
 from . import neardup as Q10
 from . import quality as Q9
+from . import repeats as Q7
 from . import toxicity as Q5
 
 QUERIES, ORACLE = {}, {}
@@ -48,3 +51,9 @@ def op6(spark, d):
 @query("op5_toxicity")
 def op5(spark, d):
     return Q5.toxicity(C.table(spark, d, "documents"), C.table(spark, d, "labels"))
+
+
+@query("op7_suffix_dedup")
+def op7(spark, d):
+    return (Q7.remove_repeats(C.table(spark, d, "documents"))
+            .select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")))
