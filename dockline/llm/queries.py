@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import session as SESSION
+from . import archive as Q3
 from . import common as C
 from . import decontaminate as Q6
 from . import mixing as Q8
@@ -57,3 +58,8 @@ def op5(spark, d):
 def op7(spark, d):
     return (Q7.remove_repeats(C.table(spark, d, "documents"))
             .select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")))
+
+
+@query("op3_arc_to_warc", Q3.ORACLE)
+def op3(spark, d):
+    return Q3.round_trip(C.table(spark, d, "pages"), SESSION.shared_path(spark, "llm-warc"))
