@@ -83,7 +83,7 @@ def export_arc(pages: DataFrame, path: str, version: str | None = None) -> None:
 
     sized = pages.select("page_id", "url", "html", F.coalesce(F.octet_length("html"), F.lit(0)).alias("n"))
     (_dealt(sized, "n").mapInPandas(records, "value string")
-     .write.option("lineSep", "\n").option("compression", "gzip").text(path))
+     .write.option("lineSep", "\n").option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").text(path))
 
 
 def _unpacked(content: bytes) -> bytes:
@@ -131,7 +131,7 @@ PARSED = ("record_id string, page_id long, url string, ip string, date string, h
           "n long, digest string")
 
 
-def _parse_arc(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _parse_arc(batches: Iterator[pd.DataFrame], body_too: bool = True) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         for content in pdf["content"]:
             out = []
@@ -141,7 +141,8 @@ def _parse_arc(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 page = http.get(PAGE_FIELD.lower(), "")
                 rid = uuid.UUID(bytes=hashlib.sha256(f"{h['archive']} {h['at']} {h['url']} {d}".encode()).digest()[:16], version=4)
                 out.append((f"<urn:uuid:{rid}>", int(page) if page.lstrip("-").isdigit() else None, h["url"], h["ip"],
-                            f"{d[:4]}-{d[4:6]}-{d[6:8]}T{d[8:10]}:{d[10:12]}:{d[12:]}Z", head, payload, len(payload),
+                            f"{d[:4]}-{d[4:6]}-{d[6:8]}T{d[8:10]}:{d[10:12]}:{d[12:]}Z", head if body_too else None,
+                            payload if body_too else None, len(payload),
                             hashlib.sha256(payload).hexdigest()))
             yield pd.DataFrame(out, columns=[x.split()[0] for x in PARSED.split(", ")]).astype({"page_id": "Int64"})
 
@@ -152,8 +153,13 @@ def files(spark: SparkSession, path: str) -> DataFrame:
 
 def convert(spark: SparkSession, arc: str, warc: str) -> None:
     """Convert the ARC files under ``arc`` to gzipped WARC files under ``warc``."""
-    parsed = files(spark, arc).mapInPandas(_parse_arc, PARSED)
-    who = parsed.select("record_id", "page_id", "url", "date", "n", "digest")
+    def heads(batches):
+        return _parse_arc(batches, body_too=False)
+
+    who = files(spark, arc).mapInPandas(heads, PARSED).select("record_id", "page_id", "url", "date", "n", "digest")
+    total = who.agg(F.sum("n")).first()[0] or 0
+    # dealt by the key of the join below, so that payloads are shuffled once
+    parsed = files(spark, arc).mapInPandas(_parse_arc, PARSED).repartition(int(total // FILE_BYTES) + 1, "record_id")
     first = (who.filter(F.col("n") >= MIN_REVISIT).groupBy(F.col("digest").alias("_g"))
              .agg(F.min(F.struct(F.col("page_id").isNull().alias("none"), "page_id", "record_id", "url", "date")).alias("first")))
     told = (who.filter(F.col("n") >= MIN_REVISIT).join(first, F.col("digest") == F.col("_g"))
@@ -176,8 +182,7 @@ def convert(spark: SparkSession, arc: str, warc: str) -> None:
         F.lit("Content-Type: application/http; msgtype=response\r\n"),
         line("Content-Length", F.octet_length(block).cast("string")), crlf)
     # as bytes: a payload needn't be valid text
-    out = rows.select(F.concat(header.cast("binary"), block).cast("string").alias("value"), "n")
-    _dealt(out, "n").select("value").write.option("lineSep", WARC_END).option("compression", "gzip").text(warc)
+    rows.select(F.concat(header.cast("binary"), block).cast("string").alias("value")).write.option("lineSep", WARC_END).option("compression", "gzip").text(warc)
 
 
 def warc_records(data: bytes) -> Iterator[tuple[dict, bytes]]:

@@ -152,18 +152,18 @@ WITH l AS (
   FROM documents),
 s AS (SELECT doc_id, i, list_sort(list_distinct(regexp_extract_all(line, '[^\x20\x09-\x0D]+'))) AS w
       FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
-f AS (SELECT w, min({'d': doc_id, 'i': i}) AS at FROM s GROUP BY w),
-o AS (SELECT w, at, row_number() OVER () AS id, len(w) AS n FROM f),
-tok AS (SELECT id, n, at, unnest(w) AS x FROM o),
+f AS (SELECT w, min({'d': doc_id, 'i': i}) AS pos FROM s GROUP BY w),
+o AS (SELECT w, pos, row_number() OVER () AS id, len(w) AS n FROM f),
+tok AS (SELECT id, n, pos, unnest(w) AS x FROM o),
 df AS (SELECT x, count(*) AS k FROM tok GROUP BY x),
-ord AS (SELECT id, n, at, tok.x, row_number() OVER (PARTITION BY id ORDER BY k, tok.x) AS p FROM tok JOIN df ON tok.x = df.x),
+ord AS (SELECT id, n, pos, tok.x, row_number() OVER (PARTITION BY id ORDER BY k, tok.x) AS p FROM tok JOIN df ON tok.x = df.x),
 pre AS (SELECT * FROM ord WHERE p <= n - (n * 4 + 4) // 5 + 1),
-c AS (SELECT DISTINCT a.id AS a, b.id AS b FROM pre a JOIN pre b ON a.x = b.x AND b.at < a.at
+c AS (SELECT DISTINCT a.id AS a, b.id AS b FROM pre a JOIN pre b ON a.x = b.x AND b.pos < a.pos
         AND 5 * a.n >= 4 * b.n AND 5 * b.n >= 4 * a.n),
 v AS (SELECT DISTINCT c.a FROM c JOIN o x ON x.id = c.a JOIN o y ON y.id = c.b
       WHERE 9 * len(list_intersect(x.w, y.w)) >= 4 * (x.n + y.n)),
-gone AS (SELECT at.d AS doc_id, at.i AS i FROM o WHERE id IN (SELECT a FROM v)
-         UNION SELECT s.doc_id, s.i FROM s JOIN f ON s.w = f.w WHERE {'d': s.doc_id, 'i': s.i} <> f.at),
+gone AS (SELECT pos.d AS doc_id, pos.i AS i FROM o WHERE id IN (SELECT a FROM v)
+         UNION SELECT s.doc_id, s.i FROM s JOIN f ON s.w = f.w WHERE {'d': s.doc_id, 'i': s.i} <> f.pos),
 n AS (SELECT doc_id, count(*) AS k FROM gone GROUP BY doc_id),
 kept AS (SELECT l.doc_id, string_agg(line, chr(10) ORDER BY l.i) AS t FROM l
          WHERE NOT EXISTS (SELECT 1 FROM gone g WHERE g.doc_id = l.doc_id AND g.i = l.i) GROUP BY l.doc_id)

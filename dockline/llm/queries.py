@@ -7,6 +7,7 @@ from .. import session as SESSION
 from . import archive as Q3
 from . import common as C
 from . import decontaminate as Q6
+from . import linedup as Q4
 from . import mixing as Q8
 from . import neardup as Q10
 from . import quality as Q9
@@ -63,3 +64,8 @@ def op7(spark, d):
 @query("op3_arc_to_warc", Q3.ORACLE)
 def op3(spark, d):
     return Q3.round_trip(C.table(spark, d, "pages"), SESSION.shared_path(spark, "llm-warc"))
+
+
+@query("op4_line_dedup", Q4.ORACLE)
+def op4(spark, d):
+    return Q4.dedup(C.table(spark, d, "documents")).select("doc_id", "text", "n_lines", "n_removed")

@@ -41,8 +41,8 @@ LENGTH = 100
 GRAM = 32
 SPAN = LENGTH - GRAM + 1       # grams in a string
 PIECE = 1 << 20                # bytes hashed together
-SHARD = 1 << 18                # bytes in a suffix array
-MOST = 1024                    # segments of a minimizer in a shard
+SHARD = 1 << 20                # bytes in a suffix array
+MOST = 8192                    # segments of a minimizer in a shard
 _U = np.uint64
 _P = 0x9E3779B97F4A7C15
 _PINV = pow(_P, -1, 2 ** 64)
@@ -205,11 +205,16 @@ CUT = "h long, d long, t long, s long, b binary"
 
 
 def _cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    names = ["h", "d", "t", "s", "b"]
     for pdf in batches:
+        out = []
         for d, t, text, segs in zip(pdf["d"], pdf["t"], pdf["text"], pdf["segs"]):
             raw = _bytes(text)
-            yield pd.DataFrame([(x["h"], d, t, x["s"], raw[x["s"]:x["s"] + x["n"] + LENGTH - 1]) for x in segs],
-                               columns=["h", "d", "t", "s", "b"])
+            out += [(x["h"], d, t, x["s"], raw[x["s"]:x["s"] + x["n"] + LENGTH - 1]) for x in segs]
+            if len(out) >= 10_000:
+                yield pd.DataFrame(out, columns=names)
+                out = []
+        yield pd.DataFrame(out, columns=names)
 
 
 REPEAT = "d long, t long, s long, n int"
