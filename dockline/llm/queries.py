@@ -7,11 +7,13 @@ from .. import session as SESSION
 from . import archive as Q3
 from . import common as C
 from . import decontaminate as Q6
+from . import licenses as Q2
 from . import linedup as Q4
 from . import mixing as Q8
 from . import neardup as Q10
 from . import quality as Q9
 from . import repeats as Q7
+from . import surrogates as Q1
 from . import toxicity as Q5
 
 QUERIES, ORACLE = {}, {}
@@ -69,3 +71,13 @@ def op3(spark, d):
 @query("op4_line_dedup", Q4.ORACLE)
 def op4(spark, d):
     return Q4.dedup(C.table(spark, d, "documents")).select("doc_id", "text", "n_lines", "n_removed")
+
+
+@query("op2_license_scan", Q2.oracle())
+def op2(spark, d):
+    return Q2.scan(C.table(spark, d, "documents"))
+
+
+@query("op1_pii_surrogates")
+def op1(spark, d):
+    return Q1.replace(C.table(spark, d, "documents"))
