@@ -64,8 +64,12 @@ def with_shingles(df: DataFrame, text: str, w: str, h: str) -> DataFrame:
     return df.withColumns({h: grams, h + "_row": F.monotonically_increasing_id()}).drop(w).filter(F.col(h + "_row") >= 0).drop(h + "_row")
 
 
+def _minimum(h: Column, band: int) -> Column:
+    return F.array_min(F.transform(h, lambda x: F.xxhash64(x, F.lit(band))))
+
+
 def _minima(h: Column) -> list[Column]:
-    return [F.array_min(F.transform(h, lambda x, b=b: F.xxhash64(x, F.lit(b)))) for b in range(BANDS)]
+    return [_minimum(h, b) for b in range(BANDS)]
 
 
 @functools.cache
