@@ -10,20 +10,22 @@ from . import common as C
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, label): label is the smallest node of its component, for every node with a link.
 
-    Each round a node takes the smallest label among its own and its neighbours',
-    then its label's label; rounds go on until nothing changes. Every round is
+    Each round every node of the graph is merged with its smallest neighbour, if that is
+    smaller, and that one's; links inside a merged node go, and equal links become
+    one. At least half the nodes that still have links go in a round. Every round is
     written out, so that neither lineage nor plans grow."""
-    e = edges.select(F.col(a).alias("x"), F.col(b).alias("y"))
-    e = C.materialize(e.union(e.select("y", "x")).distinct(), "cc-edges")
-    cur = C.materialize(e.groupBy(F.col("x").alias("node")).agg(F.min("y").alias("y"))
-                        .select("node", F.least("node", "y").alias("label")), "cc-labels")
-    while True:
-        near = e.join(cur, e.y == cur.node).groupBy(F.col("x").alias("node")).agg(F.min("label").alias("near"))
-        step = cur.join(near, "node").select("node", F.least("label", "near").alias("label"), F.col("label").alias("was"))
-        up = cur.select(F.col("node").alias("n2"), F.col("label").alias("up"))
-        new = C.materialize(step.join(up, F.col("label") == F.col("n2"), "left")
-                            .select("node", F.least("label", F.coalesce("up", "label")).alias("label"), "was"), "cc-labels")
-        changed = new.filter(F.col("label") != F.col("was")).limit(1).count()
-        cur = new.select("node", "label")
-        if not changed:
-            return cur
+    e = C.materialize(edges.select(F.col(a).alias("x"), F.col(b).alias("y")).distinct(), "cc-links")
+    cur = C.materialize(e.select(F.explode(F.array("x", "y")).alias("node")).distinct().withColumn("label", F.col("node")), "cc-labels")
+    e = e.filter("x != y")
+    while e.limit(1).count():
+        near = (e.select(F.explode(F.array(F.struct("x", "y"), F.struct(F.col("y").alias("x"), F.col("x").alias("y")))).alias("p"))
+                .groupBy(F.col("p.x").alias("n")).agg(F.min("p.y").alias("near")).select("n", F.least("n", "near").alias("to")))
+        near = C.materialize(near, "cc-near")
+        up = near.select(F.col("n").alias("n2"), F.col("to").alias("up"))
+        to = C.materialize(near.join(up, F.col("to") == F.col("n2")).select("n", F.col("up").alias("to")), "cc-to")
+        cur = C.materialize(cur.join(to, F.col("label") == F.col("n"), "left").select("node", F.coalesce("to", "label").alias("label")), "cc-labels")
+        e = (e.join(to, F.col("x") == F.col("n")).select(F.col("to").alias("x"), "y")
+             .join(to, F.col("y") == F.col("n")).select("x", F.col("to").alias("y"))
+             .select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).filter("x != y").distinct())
+        e = C.materialize(e, "cc-links")
+    return cur

@@ -292,19 +292,21 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return spark.createDataFrame([], SCHEMA) if found is None else found
 
 
+def _flags(index):
+    @F.pandas_udf(T.BooleanType())
+    def leaking(text: pd.Series) -> pd.Series:
+        flags = np.zeros(len(text), bool)
+        flags[[x[0] for x in index.value.search(text.tolist())]] = True
+        return pd.Series(flags)
+
+    return leaking
+
+
 def drop_leaking(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the documents in which an item leaks, all columns kept. The
     flag is set row by row, so nothing is joined and repeated rows are alike."""
-    spark, flag = docs.sparkSession, C.own(docs, [], "_leak")
     kept = docs
     for rows in blocks(benchmark):
-        index = spark.sparkContext.broadcast(Index(rows))
-
-        @F.pandas_udf(T.BooleanType())
-        def leaking(text: pd.Series, index=index) -> pd.Series:
-            flags = np.zeros(len(text), bool)
-            flags[[x[0] for x in index.value.search(text.tolist())]] = True
-            return pd.Series(flags)
-
-        kept = kept.withColumn(flag, leaking(F.col("text"))).filter(~F.col(flag)).drop(flag)
+        index = docs.sparkSession.sparkContext.broadcast(Index(rows))
+        kept = kept.filter(~_flags(index)(F.col("text")))
     return kept
