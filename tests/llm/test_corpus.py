@@ -247,7 +247,8 @@ def test_toxicity_learns_and_ignores_the_held_out(spark):
     labels = spark.createDataFrame([(i, 1, int(i % 3 == 0)) for i in range(240)] + [(0, 1, None)], "doc_id long, quality int, toxic int")
     got = {r.doc_id: r for r in toxicity.toxicity(docs, labels).collect()}
     held = [r for r in got.values() if r.held_out and r.doc_id < 240]
-    assert len(got) == 242 and sum(r.predicted == (r.doc_id % 3 == 0) for r in held) >= 0.9 * len(held)
+    pairs = [(a.score, b.score) for a in held for b in held if a.doc_id % 3 == 0 and b.doc_id % 3]
+    assert len(got) == 242 and sum(a > b for a, b in pairs) >= 0.85 * len(pairs)
     assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in got.values())
     m = toxicity.fit(t, [int(i % 3 == 0) for i in range(240)])
     assert m.scores([t[1] + " idi0t mmoron"])[0] > m.scores([t[1]])[0]
