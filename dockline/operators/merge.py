@@ -83,14 +83,15 @@ def station_stubs(snapshot: DataFrame, valid_availability: DataFrame, order: Col
     """Stations referenced by readings but absent from the snapshot, taken
     from the oldest availability row (DO NOTHING keeps the first). Returns
     (stubs that satisfy the table constraints, quarantined stubs with reason)."""
-    cand = first_wins(valid_availability.withColumn("_upd", updated_at), ["station_id"], order,
-                      STATION_ATTRS + ["_upd"])
-    cand = cand.join(snapshot.select("station_id"), "station_id", "left_anti")
+    # constraints first: a bad oldest row must not hide a good later one
+    cand = valid_availability.withColumn("_upd", updated_at).join(snapshot.select("station_id"), "station_id", "left_anti")
     cand = cand.withColumn("violation", R.station_row_violation(commune=F.lit(None).cast("string")))
-    ok = cand.filter(F.col("violation").isNull()).select(
+    good = first_wins(cand.filter(F.col("violation").isNull()), ["station_id"], order, STATION_ATTRS + ["_upd"])
+    ok = good.select(
         "station_id", *STATION_ATTRS, F.lit(None).cast("string").alias("commune"),
         F.lit(True).alias("is_installed"), F.col("_upd").alias("updated_at"))
-    bad = cand.filter(F.col("violation").isNotNull()).select("station_id", *STATION_ATTRS, "violation")
+    bad = (first_wins(cand.filter(F.col("violation").isNotNull()), ["station_id"], order, STATION_ATTRS + ["violation"])
+           .join(good.select("station_id"), "station_id", "left_anti").select("station_id", *STATION_ATTRS, "violation"))
     return ok, bad
 
 

@@ -32,7 +32,10 @@ def decode(messages: DataFrame, result_schema: StructType) -> DataFrame:
         T.to_ntz(T.parse_instant(F.col("env.fetched_at"))).alias("fetched_at"),
         F.col("env.payload.total_count").alias("total_count"),
         F.col("env.payload.results").alias("results"),
-        F.col(f"env.{SC.CORRUPT_COL}").isNotNull().alias("is_corrupt"),
+        # a badly typed field fills the corrupt column, too, but leaves the rest of the envelope readable
+        (F.col(f"env.{SC.CORRUPT_COL}").isNotNull()
+         & F.coalesce(F.col("env.source"), F.col("env.batch_id"), F.col("env.fetched_at")).isNull()
+         & F.col("env.payload").isNull()).alias("is_corrupt"),
         F.coalesce(F.size(F.col("env.payload.results")), F.lit(0)).alias("n_results"),
     )
 

@@ -84,7 +84,7 @@ def _cell_size(stations: DataFrame, top_n: int) -> tuple[float, dict]:
 
 
 def recommend_many(positions: DataFrame, latest: DataFrame, need: str = "velo",
-                   top_n: int = S.RECOMMEND_TOP_N, max_rounds: int = 40) -> DataFrame:
+                   top_n: int = S.RECOMMEND_TOP_N) -> DataFrame:
     """Exact ``top_n`` nearest stations with stock for every position.
     Output: position_id, rank, station_id, name, distance_km."""
     spark = positions.sparkSession
@@ -106,7 +106,7 @@ def recommend_many(positions: DataFrame, latest: DataFrame, need: str = "velo",
     done = None
     ring = 1
     pending = pos
-    for _ in range(max_rounds):
+    while True:      # ends: the ring doubles until it covers all stations
         lo_y = F.greatest(F.col("pcy") - ring, F.lit(y0))
         hi_y = F.least(F.col("pcy") + ring, F.lit(y1))
         lo_x = F.greatest(F.col("pcx") - ring, F.lit(x0))

@@ -31,9 +31,7 @@ def archive_rows(messages: DataFrame) -> DataFrame:
 def archive(messages: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write the archive; with ``dynamic`` partition overwrite a rerun
     replaces only the (source, dt) partitions it touches."""
-    spark = messages.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    (archive_rows(messages).write.mode(mode).partitionBy("source", "dt").parquet(path))
+    (archive_rows(messages).write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("source", "dt").parquet(path))
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:

@@ -23,6 +23,7 @@ committed, and readers only see committed epochs (S11).
 from __future__ import annotations
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -44,11 +45,18 @@ def _epoch_path(root: str, table: str, run: str, epoch: int) -> str:
     return f"{root.rstrip('/')}/{table}/run={run}/epoch={epoch}"
 
 
-def _committed(spark: SparkSession, root: str) -> DataFrame | None:
+def _read(spark: SparkSession, schema: str, path: str) -> DataFrame | None:
+    """The table, or None where nothing has been written; any other error is raised."""
     try:
-        return spark.read.schema("feed string, run string, epoch bigint").parquet(f"{root.rstrip('/')}/_manifest")
-    except Exception:  # noqa: BLE001 - nothing committed yet
-        return None
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
+def _committed(spark: SparkSession, root: str) -> DataFrame | None:
+    return _read(spark, "feed string, run string, epoch bigint", f"{root.rstrip('/')}/_manifest")
 
 
 def read_committed(spark: SparkSession, root: str, table: str, schema: str,
@@ -58,9 +66,8 @@ def read_committed(spark: SparkSession, root: str, table: str, schema: str,
     man = _committed(spark, root)
     if man is None:
         return None
-    try:
-        t = spark.read.schema(schema + ", run string, epoch bigint").parquet(f"{root.rstrip('/')}/{table}")
-    except Exception:  # noqa: BLE001
+    t = _read(spark, schema + ", run string, epoch bigint", f"{root.rstrip('/')}/{table}")
+    if t is None:
         return None
     t = t.join(man.select("run", "epoch").distinct(), ["run", "epoch"], "left_semi")
     if exclude is not None:
@@ -108,9 +115,12 @@ def process_batch(batch: DataFrame, epoch_id: int, root: str, feed: str, run: st
     spark = batch.sparkSession
     run = run or _query_id(spark)
     schema = SC.STATION_RESULT if feed == S.SOURCE_STATIONS else SC.AVAILABILITY_RESULT
+    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)     # archive and parse read the source once
+    cached = [batch]
     msgs = batch.withColumn("micro_batch", F.lit(epoch_id).cast("bigint"))
-    dec = P.decode(msgs, schema).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        dec = P.decode(msgs, schema).persist(StorageLevel.MEMORY_AND_DISK)
+        cached.append(dec)
         # bronze (raw values unchanged; D6: malformed text is archived too)
         BZ.archive(batch, _epoch_path(root, "bronze", run, epoch_id))
         rec = P.explode_records(dec, keep=KEEP)
@@ -119,6 +129,7 @@ def process_batch(batch: DataFrame, epoch_id: int, root: str, feed: str, run: st
         else:
             rows = P.project_availability(rec).withColumn("reject_reason", R.reading_reject_reason())
         rows = rows.withColumn("is_valid", F.col("reject_reason").isNull()).persist(StorageLevel.MEMORY_AND_DISK)
+        cached.append(rows)
         valid = rows.filter("is_valid")
         alerts = [AL.reject_rate_alerts(AL.reject_ratio(rows), feed.capitalize(), feed),
                   AL.malformed_alerts(dec), AL.empty_fetch_alerts(dec)]
@@ -149,11 +160,11 @@ def process_batch(batch: DataFrame, epoch_id: int, root: str, feed: str, run: st
         _write(changes, _epoch_path(root, "station_changes", run, epoch_id))
         _write(AL.union_alerts(*alerts), _epoch_path(root, "alerts", run, epoch_id))
         # commit marker, written last
-        spark.createDataFrame([(feed, run, int(epoch_id))], "feed string, run string, epoch bigint") \
-            .write.mode("append").parquet(f"{root.rstrip('/')}/_manifest")
-        rows.unpersist()
+        # one folder per epoch: feeds that commit at the same time share no folder
+        spark.createDataFrame([(feed,)], "feed string").write.mode("overwrite").parquet(_epoch_path(root, "_manifest", run, epoch_id))
     finally:
-        dec.unpersist()
+        for df in cached:
+            df.unpersist()
 
 
 def start(stream: DataFrame, root: str, checkpoint: str, feed: str, available_now: bool = True) -> StreamingQuery:
@@ -169,8 +180,12 @@ def run_both(spark: SparkSession, stations_stream: DataFrame, availability_strea
     """Both feeds concurrently; a failure in either surfaces at once."""
     qs = [start(stations_stream, root, f"{checkpoint_root.rstrip('/')}/stations", S.SOURCE_STATIONS),
           start(availability_stream, root, f"{checkpoint_root.rstrip('/')}/availability", S.SOURCE_AVAILABILITY)]
+    while any(q.isActive for q in qs) and not any(q.exception() for q in qs):
+        next(q for q in qs if q.isActive).awaitTermination(1)
+    for q in qs:
+        if q.isActive:
+            q.stop()
     for q in qs:
-        q.awaitTermination()
         if q.exception() is not None:
             raise q.exception()
 
