@@ -6,17 +6,23 @@ more, judged on the input, whether or not the earlier one goes itself.
 
 1. Words become numbers whose top bits are a rarity level: words are
    counted in ``2 ** BUCKET_BITS`` hashed buckets, whatever the size of the vocabulary, and
-   the level of a bucket is the binary logarithm of its count, one byte. The table of levels
-   (64 KB) is the only thing that leaves Spark, and comes back as a literal. Sorted
-   numbers are the words by rarity; a rough order costs time, never a result.
-2. Lines with equal sets are one set from here on; its later lines go.
+   the level of a bucket is the binary logarithm of its count. The table of levels
+   (a number per bucket) is the only thing that leaves Spark, and comes back as a literal.
+   Sorted numbers are the words by rarity; a rough order costs time, never a result.
+2. Lines with equal sets are one set from here on; its later lines go. Sets are numbered
+   in the order of their first lines.
 3. Prefix filter: two sets that similar share one of their first ``n - ceil(THRESHOLD n) + 1``
-   numbers. Length and position filters are part of the join's condition.
+   numbers. Length and position filters are part of the join's condition, and so is a bitmap
+   filter: each word flips one of 64 bits, and sets that differ in k words differ in k bits
+   at most.
 4. Each set is first compared with the earliest set that has each of its prefix words.
    That settles most: a set needs one earlier match only, so a group of near copies costs
    comparisons as its size, not as its square.
 5. Sets still undecided are joined with all earlier sets by prefix, and verified.
 
+Only prefixes are shuffled. The words of a line are taken from its document again when
+one of its pairs is verified.
+
 Defined cases: a line without words stays and matches nothing; null texts stay null; a document
 all of whose words go keeps an empty text; null doc_ids come last in order; rows equal in
 doc_id are ordered by a hash of their text and count as documents of their own, but equal
@@ -39,84 +45,90 @@ def _need(n: Column) -> Column:
     return F.floor((n * 4 + 4) / 5)
 
 
-def lines(docs: DataFrame) -> DataFrame:
+def _key(docs: DataFrame) -> list[Column]:
+    return [F.coalesce(F.col("doc_id"), F.lit(2 ** 63 - 1)).alias("d"), F.xxhash64("text").alias("t")]
+
+
+def lines(texts: DataFrame) -> DataFrame:
     """(d, t, i, w): document, line number from 0, distinct word hashes of each line with a word."""
-    one = docs.select(*_key(docs), F.posexplode(F.split(F.col("text"), "\n")).alias("i", "line")).filter(F.col("line").rlike(C.HAS_WORD))
+    one = texts.select("d", "t", F.posexplode(F.split(F.col("text"), "\n")).alias("i", "line")).filter(F.col("line").rlike(C.HAS_WORD))
     mask = F.lit((1 << HASH_BITS) - 1)
     return one.select("d", "t", "i", F.array_distinct(F.transform(C.words(F.col("line")), lambda x: F.xxhash64(x).bitwiseAND(mask))).alias("w"))
 
 
-def _key(docs: DataFrame) -> list[Column]:
-    return [F.coalesce(F.col("doc_id"), F.lit(2 ** 63 - 1)).alias("d"), F.xxhash64("text").alias("t")]
-
-
-def levels(sets: DataFrame) -> bytes:
-    """The rarity level of every bucket of word hashes, a byte each."""
+def levels(texts: DataFrame) -> list[int]:
+    """The rarity level of every bucket of word hashes."""
     size = 1 << BUCKET_BITS
-    rows = (sets.select(F.explode("w").alias("x")).groupBy(F.col("x").bitwiseAND(F.lit(size - 1)).alias("b"))
+    rows = (texts.select(F.explode(C.words(F.col("text"))).alias("x")).groupBy(F.xxhash64("x").bitwiseAND(F.lit(size - 1)).alias("b"))
             .agg(F.floor(F.log2(F.count("*"))).cast("int").alias("level")).collect())
-    out = bytearray(size)
+    out = [0] * size
     for r in rows:
         out[r.b] = r.level
-    return bytes(out)
+    return out
+
 
+def prefixes(texts: DataFrame, table: list[int]) -> DataFrame:
+    """(d, t, i, n, k1, k2, b, p): per line the size, key and bitmap of its set, and its prefix, rarest words first."""
+    level = F.split(F.lit(",".join(map(str, table))), ",").cast("array<int>")
 
-def ranked(sets: DataFrame, table: bytes) -> DataFrame:
-    """``sets`` with the words as numbers in order of rarity."""
     def number(x):
-        at = x.bitwiseAND(F.lit((1 << BUCKET_BITS) - 1)).cast("int") + 1
-        level = F.conv(F.hex(F.substring(F.lit(table), at, F.lit(1))), 16, 10).cast("long")
-        return F.shiftleft(level, HASH_BITS).bitwiseOR(x)
-    return sets.withColumn("w", F.array_sort(F.transform("w", number)))
+        at = x.bitwiseAND(F.lit((1 << BUCKET_BITS) - 1)).cast("int")
+        return F.shiftleft(F.get(level, at).cast("long"), HASH_BITS).bitwiseOR(x)
+    n = F.size("w")
+    bits = F.expr("aggregate(w, 0L, (a, x) -> a ^ shiftleft(1L, cast(shiftright(x, 24) & 63 as int)))")
+    return (lines(texts).withColumn("w", F.sort_array(F.transform("w", number)))
+            .select("d", "t", "i", n.alias("n"), F.xxhash64("w").alias("k1"), F.xxhash64(F.lit(1), F.col("w")).alias("k2"),
+                    bits.alias("b"), F.slice("w", F.lit(1), (n - _need(n) + 1).cast("int")).alias("p")))
+
+
+def _fits(x: str, y: str) -> Column:
+    """Length, position and bitmap filters for the postings ``x`` and ``y``: what can still be shared suffices."""
+    c = lambda s, k: F.col(f"{s}.{k}")
+    n1, n2 = c(x, "n"), c(y, "n")
+    enough = F.floor((4 * (n1 + n2) + 8) / 9)                           # ceil(4/9 (n1 + n2))
+    return ((5 * n1 >= 4 * n2) & (5 * n2 >= 4 * n1) & (F.least(n1 - c(x, "p"), n2 - c(y, "p")) >= enough)
+            & (9 * F.bit_count(c(x, "b").bitwiseXOR(c(y, "b"))) <= n1 + n2))
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, texts: DataFrame) -> DataFrame:
+    """(id, other) that are similar; the words come from the documents of the lines named."""
+    ids = pairs.select(F.explode(F.array("id", "other")).alias("id")).distinct()
+    at = C.materialize(sets.select("id", "at.*").join(ids, "id"), "line-wanted")
+    w = lines(texts.join(at.select("d", "t").distinct(), ["d", "t"], "left_semi"))
+    w = C.materialize(w.join(at, ["d", "t", "i"]).select("id", "w").dropDuplicates(["id"]), "line-words")
+    both = (pairs.join(w.withColumnRenamed("w", "w1"), "id")
+            .join(w.select(F.col("id").alias("other"), F.col("w").alias("w2")), "other")
+            .withColumn("c", F.size(F.array_intersect("w1", "w2"))))
+    return both.filter(9 * F.col("c") >= 4 * (F.size("w1") + F.size("w2"))).select("id", "other")
 
 
 def matched(docs: DataFrame) -> DataFrame:
     """(d, t, i) of the lines that have an earlier match."""
-    raw = C.materialize(lines(docs), "line-words")
-    sets = ranked(raw, levels(raw)).select("d", "t", "i", "w", F.size("w").alias("n"), *[
-        f.alias(k) for k, f in (("k1", F.xxhash64("w")), ("k2", F.xxhash64(F.lit(1), F.col("w"))))])
-    where = F.struct("d", "t", "i")
-    narrow = sets.select("k1", "k2", where.alias("at"))
-    first = narrow.groupBy("k1", "k2").agg(F.min("at").alias("at"), F.count("*").alias("lines"))
-    # one row per set, with the line it first occurs on; equal rows of the input are one line
-    one = C.materialize(
-        sets.join(first.select(F.col("k1").alias("f1"), F.col("k2").alias("f2"), "at"),
-                  (F.col("k1") == F.col("f1")) & (F.col("k2") == F.col("f2")) & (where == F.col("at")))
-        .select("k1", "k2", "at", "n", "w").dropDuplicates(["k1", "k2"])
-        .withColumn("id", F.monotonically_increasing_id()), "line-sets")
-
-    post = one.select("id", "at", "n", F.posexplode(F.slice("w", F.lit(1), (F.col("n") - _need(F.col("n")) + 1).cast("int"))).alias("p", "x"))
-    shared = post.groupBy("x").agg(F.count("*").alias("sets"), F.min(F.struct("at", "id", "n", "p")).alias("e")).filter("sets > 1")
-    shared = C.materialize(post.join(shared, "x"), "line-prefixes")
-
-    def fits(n1, p1, n2, p2) -> Column:
-        """Length and position filters: what can still be shared from these positions on suffices."""
-        enough = F.floor((4 * (n1 + n2) + 8) / 9)                       # ceil(4/9 (n1 + n2))
-        return (5 * n1 >= 4 * n2) & (5 * n2 >= 4 * n1) & (F.least(n1 - p1, n2 - p2) >= enough)
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        """(id, other) that are similar."""
-        w = one.select("id", "w")
-        both = (pairs.join(w, "id").withColumnRenamed("w", "w1")
-                .join(w.select(F.col("id").alias("other"), F.col("w").alias("w2")), "other"))
-        both = both.withColumn("c", F.size(F.array_intersect("w1", "w2")))
-        return both.filter(9 * F.col("c") >= 4 * (F.size("w1") + F.size("w2"))).select("id", "other")
-
-    c = F.col
-    easy = (shared.filter((c("e.id") != c("id")) & fits(c("n"), c("p"), c("e.n"), c("e.p")))
-            .select("id", c("e.id").alias("other")).distinct())
-    easy = C.materialize(easy, "line-pairs")
-    done = C.materialize(verified(easy).select("id").distinct(), "line-done")
-
-    x, y = shared.join(done, "id", "left_anti").alias("x"), shared.alias("y")
-    hard = (x.join(y, (c("x.x") == c("y.x")) & (c("y.at") < c("x.at")) & (c("y.id") != c("x.e.id")) & fits(c("x.n"), c("x.p"), c("y.n"), c("y.p")))
-            .select(c("x.id").alias("id"), c("y.id").alias("other")).distinct().join(easy, ["id", "other"], "left_anti"))
-    more = verified(C.materialize(hard, "line-pairs")).select("id").distinct()
-    near = one.join(done.union(more), "id").select(c("at.d").alias("d"), c("at.t").alias("t"), c("at.i").alias("i"))
+    texts = docs.select(*_key(docs), "text")
+    each = C.materialize(prefixes(texts, levels(texts)), "line-prefixes")
+    # one row per set, with the line it first occurs on; equal lines have equal n, b and p
+    sets = each.groupBy("k1", "k2").agg(
+        F.min(F.struct("d", "t", "i")).alias("at"), F.count("*").alias("lines"), *[F.any_value(k).alias(k) for k in ("n", "b", "p")])
+    sets = C.materialize(sets.sort("at").withColumn("id", F.monotonically_increasing_id()), "line-sets")
+
+    post = sets.select("id", "n", "b", F.posexplode("p").alias("p", "x"))
+    early = (post.groupBy("x").agg(F.count("*").alias("sets"), F.min(F.struct("id", "n", "b", "p")).alias("e"))
+             .filter("sets > 1").select("x", "e.*"))
+    early = C.materialize(early, "line-earliest")
+    x, y = post.alias("x"), early.alias("y")
+    found = lambda x, y: (x.join(y, (F.col("x.x") == F.col("y.x")) & (F.col("y.id") < F.col("x.id")) & _fits("x", "y"))
+                          .select(F.col("x.id").alias("id"), F.col("y.id").alias("other")).distinct())
+    easy = C.materialize(found(x, y), "line-pairs")
+    done = C.materialize(_verified(easy, sets, texts).select("id").distinct(), "line-done")
+
+    x, y = post.join(done, "id", "left_anti").alias("x"), post.alias("y")
+    hard = C.materialize(found(x, y).join(easy, ["id", "other"], "left_anti"), "line-pairs")
+    more = _verified(hard, sets, texts).select("id").distinct()
+    near = sets.select("id", "at.*").join(done.union(more), "id").select("d", "t", "i")
     # lines with a set met before; equal rows repeat the first line itself, which stays
-    same = (narrow.join(first.filter("lines > 1").select(F.col("k1").alias("f1"), F.col("k2").alias("f2"), F.col("at").alias("first")),
-                        (F.col("k1") == F.col("f1")) & (F.col("k2") == F.col("f2")))
-            .filter(F.col("at") != F.col("first")).select("at.d", "at.t", "at.i"))
+    first = sets.filter("lines > 1").select(F.col("k1").alias("f1"), F.col("k2").alias("f2"), "at")
+    same = (each.select("k1", "k2", "d", "t", "i").join(first, (F.col("k1") == F.col("f1")) & (F.col("k2") == F.col("f2")))
+            .filter(F.struct("d", "t", "i") != F.col("at")).select("d", "t", "i"))
     return C.materialize(near.union(same).distinct(), "line-matches")
 
 
