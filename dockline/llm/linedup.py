@@ -80,7 +80,7 @@ def prefixes(texts: DataFrame, table: list[int]) -> DataFrame:
     bits = F.expr("aggregate(w, 0L, (a, x) -> a ^ shiftleft(1L, cast(shiftright(x, 24) & 63 as int)))")
     return (lines(texts).withColumn("w", F.sort_array(F.transform("w", number)))
             .select("d", "t", "i", n.alias("n"), F.xxhash64("w").alias("k1"), F.xxhash64(F.lit(1), F.col("w")).alias("k2"),
-                    bits.alias("b"), F.transform(F.slice("w", F.lit(1), (n - _need(n) + 1).cast("int")), F.hash).alias("p")))
+                    bits.alias("b"), F.transform(F.slice("w", F.lit(1), (n - _need(n) + 1).cast("int")), lambda x: F.hash(x)).alias("p")))
 
 
 def _fits(x: str, y: str) -> Column:
