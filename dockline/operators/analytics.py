@@ -66,13 +66,14 @@ def orphan_readings(readings: DataFrame, stations: DataFrame) -> DataFrame:
 def capacity_incoherent(readings: DataFrame, stations: DataFrame) -> DataFrame:
     """Readings with bikes + docks > capacity + 5, their count and share of
     all readings (left join, so readings of unknown stations count as
-    coherent). The threshold depends on each station's capacity, so the
-    join comes before the (global, partial) aggregate."""
-    j = readings.select("station_id", "num_bikes_available", "num_docks_available").join(
-        stations.select("station_id", "capacity"), "station_id", "left")
+    coherent). Readings are counted per station, bikes and docks first, so
+    the join and a hot station see combinations, not readings."""
+    counts = (readings.groupBy("station_id", "num_bikes_available", "num_docks_available")
+              .agg(F.count(F.lit(1)).alias("n")))
+    j = counts.join(stations.select("station_id", "capacity"), "station_id", "left")
     return j.agg(
-        F.count_if(R.capacity_incoherent()).alias("n_incoherent"),
-        F.count(F.lit(1)).alias("n_readings"),
+        F.coalesce(F.sum(F.when(R.capacity_incoherent(), F.col("n"))), F.lit(0)).alias("n_incoherent"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n_readings"),
     ).withColumn("share_incoherent", _r(F.col("n_incoherent").cast("double") / F.nullif(F.col("n_readings"), F.lit(0))))
 
 
@@ -194,9 +195,11 @@ def latest_alerts(alerts: DataFrame, top: int = S.LATEST_ALERTS) -> DataFrame:
 
 # ---- W5 ------------------------------------------------------------------
 def message_rate(messages: DataFrame, length: str = "5 minutes", slide: str = "1 minute",
-                 seconds: int = 300) -> DataFrame:
-    """Messages per second per topic over sliding windows."""
-    w = F.window("timestamp", length, slide)
-    g = messages.groupBy("topic", w.alias("w")).agg(F.count(F.lit(1)).alias("n_messages"))
+                 seconds: int = 300, cell: str = "1 minute") -> DataFrame:
+    """Messages per second per topic over sliding windows. Messages are counted per
+    ``cell`` first, which must divide ``length`` and ``slide``; only the counts slide."""
+    cells = (messages.groupBy("topic", F.window("timestamp", cell).alias("c")).agg(F.count(F.lit(1)).alias("n"))
+             .select("topic", F.col("c.start").alias("at"), "n"))
+    g = cells.groupBy("topic", F.window("at", length, slide).alias("w")).agg(F.sum("n").alias("n_messages"))
     return g.select("topic", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
                     "n_messages", (F.col("n_messages") / F.lit(float(seconds))).alias("rate_per_s"))
