@@ -49,11 +49,25 @@ def _key(docs: DataFrame) -> list[Column]:
     return [F.coalesce(F.col("doc_id"), F.lit(2 ** 63 - 1)).alias("d"), F.xxhash64("text").alias("t")]
 
 
+def _set(line: Column) -> Column:
+    """The distinct word hashes of a line."""
+    mask = F.lit((1 << HASH_BITS) - 1)
+    return F.array_distinct(F.transform(C.words(line), lambda x: F.xxhash64(x).bitwiseAND(mask)))
+
+
 def lines(texts: DataFrame) -> DataFrame:
     """(d, t, i, w): document, line number from 0, distinct word hashes of each line with a word."""
     one = texts.select("d", "t", F.posexplode(F.split(F.col("text"), "\n")).alias("i", "line")).filter(F.col("line").rlike(C.HAS_WORD))
-    mask = F.lit((1 << HASH_BITS) - 1)
-    return one.select("d", "t", "i", F.array_distinct(F.transform(C.words(F.col("line")), lambda x: F.xxhash64(x).bitwiseAND(mask))).alias("w"))
+    return one.select("d", "t", "i", _set(F.col("line")).alias("w"))
+
+
+def line_sets(texts: DataFrame, at: DataFrame) -> DataFrame:
+    """(id, w): the word hashes of the lines that ``at`` (id, d, t, i) names, and of no others."""
+    of = at.groupBy("d", "t").agg(F.collect_list(F.struct("i", "id")).alias("of"))     # lines of one document
+    of = C.materialize(of, "line-wanted")                                              # its size decides how it is joined
+    named = texts.join(of, ["d", "t"]).select("of", F.split("text", "\n").alias("l"))
+    one = named.select(F.explode(F.transform("of", lambda o: F.struct(o["id"].alias("id"), F.get(F.col("l"), o["i"]).alias("line")))).alias("o"))
+    return one.select("o.id", _set(F.col("o.line")).alias("w")).dropDuplicates(["id"])
 
 
 def levels(texts: DataFrame) -> list[int]:
@@ -95,9 +109,7 @@ def _fits(x: str, y: str) -> Column:
 def _verified(pairs: DataFrame, sets: DataFrame, texts: DataFrame) -> DataFrame:
     """(id, other) that are similar; the words come from the documents of the lines named."""
     ids = pairs.select(F.explode(F.array("id", "other")).alias("id")).distinct()
-    at = C.materialize(sets.select("id", "at.*").join(ids, "id"), "line-wanted")
-    w = lines(texts.join(at.select("d", "t").distinct(), ["d", "t"], "left_semi"))
-    w = C.materialize(w.join(at, ["d", "t", "i"]).select("id", "w").dropDuplicates(["id"]), "line-words")
+    w = C.materialize(line_sets(texts, sets.select("id", "at.*").join(ids, "id")), "line-words")
     both = (pairs.join(w.withColumnRenamed("w", "w1"), "id")
             .join(w.select(F.col("id").alias("other"), F.col("w").alias("w2")), "other")
             .withColumn("c", F.size(F.array_intersect("w1", "w2"))))
