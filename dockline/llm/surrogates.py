@@ -1,6 +1,8 @@
 """Surrogates for personal data.
 
-Entities are found by pattern, and names by title or given name. Every entity
+Entities are found by pattern, and names by title or given name: each capitalised word is looked at,
+so that a word before a name doesn't hide it, and all capitals count like capitalised words. A word found to be a
+name is one wherever it stands in the same document, also alone. Every entity
 gets one replacement, made from a keyed hash (HMAC) of its kind and canonical form, so that
 all mentions of an entity, however they are formatted, get the same one, in every document. A
 replacement is of the same kind and shape:
@@ -9,7 +11,8 @@ replacement is of the same kind and shape:
 * phone numbers keep punctuation and country code, card numbers their first digit and validity (Luhn);
 * IPv4 addresses stay valid, and private ones private; secrets keep length and alphabet;
 * given names stay in their gender and script, surnames in their script; each word of a name is an
-  entity of its own, so "Mary Smith" and "Mrs. Smith" still share a surname.
+  entity of its own, so "Mary Smith" and "Mrs. Smith" still share a surname. Scripts without lists
+  (all but Latin, Cyrillic and Greek) get letters of the same script; names in them are found after a title only.
 
 Collision check: an entity takes its first candidate that no other entity holds and that is
 not itself an entity of the corpus. Candidates are compared by joins and
@@ -22,9 +25,11 @@ several texts may share a doc_id; an empty table gives an empty result.
 """
 from __future__ import annotations
 
+import functools
 import hashlib
 import hmac
 import re
+import unicodedata
 from collections.abc import Iterator
 
 import pandas as pd
@@ -57,7 +62,11 @@ TITLES = {
 }
 _GENDER = {n: g for (_, g), names in GIVEN.items() for n in names}
 _TITLE = {t: g for g, ts in TITLES.items() for t in ts}
-_CAP = r"[^\W\d_a-zß-öø-ÿа-яёα-ωά-ώ][^\W\d_]+"
+# words that stand after a name without being one
+_COMMON = frozenset("""A An And Are As At But By For From Had Has Have He Her His How I If In Is It Its Not Of On Or Our Said Says She
+So That The Their Then They This To Was We Were What When Where Who Will With You Your Der Die Das Und Ist Hat War Mit Von Für Auf
+Le La Les Et Est Un Une Du Des Dans Pour El Los Las Y Es Una En Con Para И В На Не С Он Она Это Και Το Η Ο""".split())
+_CAP = r"(?:[A-Z]['’])?[^\W\d_a-zß-öø-ÿа-яёα-ωά-ώ][^\W\d_]+(?:-[^\W\d_a-zß-öø-ÿа-яёα-ωά-ώ][^\W\d_]+)*"
 PATTERNS = [
     ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"),
     ("secret", r"(?i:password|passwd|token|secret|api[_-]?key)\s?[=:]\s?[\"']?([A-Za-z0-9_/+-]{8,})"),
@@ -69,7 +78,10 @@ PATTERNS = [
 ]
 _RX = [(k, re.compile(p)) for k, p in PATTERNS]
 _HINT = re.compile(r"[@\d=:]")
-_NAMED = re.compile(r"\b(?:(" + "|".join(_TITLE) + r")\.? )?(" + _CAP + r")(?: (" + _CAP + r"))?")
+_WORD = re.compile(r"\b" + _CAP)
+# what may stand between the words of a name: blanks, then initials and particles
+_GAP = re.compile(r"[^\S\n]{1,3}(?:(?:[^\W\d_]\.[^\S\n]?|(?:van|von|de|der|den|del|della|da|di|du|dos|la|le)[^\S\n]))*")
+_AFTER_TITLE = re.compile(r"\.?" + _GAP.pattern + r"|\.")
 
 
 def luhn(digits: str) -> bool:
@@ -79,7 +91,24 @@ def luhn(digits: str) -> bool:
 
 def script(word: str) -> str:
     c = ord(word[0])
-    return "cyrillic" if 0x400 <= c < 0x530 else "greek" if 0x370 <= c < 0x400 or 0x1F00 <= c < 0x2000 else "latin"
+    if 0x400 <= c < 0x530:
+        return "cyrillic"
+    if 0x370 <= c < 0x400 or 0x1F00 <= c < 0x2000:
+        return "greek"
+    return "latin" if unicodedata.name(word[0], "").startswith("LATIN") else "other"
+
+
+@functools.lru_cache(None)
+def _alike(c: str) -> str:
+    """The letters of the script and kind of ``c`` that stand near it."""
+    kind = lambda x: (unicodedata.category(x), unicodedata.name(x, "").split(" ")[0])
+    return "".join(x for x in map(chr, range(ord(c) & ~127, (ord(c) | 127) + 1)) if kind(x) == kind(c))
+
+
+@functools.lru_cache(1 << 16)
+def proper(word: str) -> str:
+    """A name's canonical form, the same for all ways to capitalise it."""
+    return "".join(x.capitalize() for x in re.split(r"([-'’])", unicodedata.normalize("NFC", word)))
 
 
 def canonical(kind: str, text: str) -> str:
@@ -89,7 +118,50 @@ def canonical(kind: str, text: str) -> str:
         return re.sub(r"\D", "", text)
     if kind == "iban":
         return text.replace(" ", "")
-    return text
+    return proper(text) if kind.startswith(("given", "surname")) else text
+
+
+def _names(text: str) -> list[tuple[int, int, str]]:
+    """(start, end, kind) of the words that are names by a title or as given names, and of their other mentions."""
+    words = [(*m.span(), proper(m[0])) for m in _WORD.finditer(text) if not m[0][0].islower()]
+    joined = lambda i, gap: i + 1 < len(words) and gap.fullmatch(text, words[i][1], words[i + 1][0]) is not None
+    known, i = {}, 0                 # number of the word -> kind
+
+    def surname(j: int) -> bool:
+        if words[j][2] in _COMMON or words[j][2] in _TITLE:
+            return False
+        known[j] = f"surname-{script(words[j][2])}"
+        return True
+
+    while i < len(words):
+        w, gender, title = words[i][2], None, None
+        while w in _TITLE and joined(i, _AFTER_TITLE):       # "Prof. Dr. Weber"
+            title, i = _TITLE[w] if title in (None, "u") else title, i + 1
+            w = words[i][2]
+        gender = _GENDER.get(w)
+        if gender is None and (title is None or w in _COMMON):
+            i += 1
+            continue
+        pair = joined(i, _GAP) and words[i + 1][2] not in _COMMON and words[i + 1][2] not in _TITLE
+        if gender is None and not pair:                      # a title and a surname
+            surname(i)
+            i += 1
+            continue
+        g = gender or title.replace("u", "f" if w[-1] in "aeаяα" else "m")
+        known[i] = f"given-{g}-{script(w)}"
+        i += 1
+        # middle names, as long as another word follows
+        while pair and words[i][2] in _GENDER and joined(i, _GAP) and words[i + 1][2] not in _COMMON and words[i + 1][2] not in _TITLE:
+            known[i] = f"given-{_GENDER[words[i][2]]}-{script(words[i][2])}"
+            i += 1
+        if pair and surname(i):
+            i += 1
+    kinds = {}
+    for j, k in sorted(known.items()):
+        kinds.setdefault(words[j][2], k)
+        for part in words[j][2].split("-"):                  # "Smith" after "Mary Smith-Miller"
+            kinds.setdefault(part, k)
+    return [(a, b, known.get(j) or kinds[w]) for j, (a, b, w) in enumerate(words) if j in known or w in kinds]
 
 
 def find(text: str | None) -> list[tuple[int, int, str]]:
@@ -107,14 +179,7 @@ def find(text: str | None) -> list[tuple[int, int, str]]:
                     if not (luhn(d) or (len(d) == 16 and d[0] in "3456")):
                         continue
                 got.append((a, b, kind))
-    for m in _NAMED.finditer(text):
-        title, first, second = m.groups()
-        gender = _GENDER.get(first)
-        if title and not second:
-            got.append((*m.span(2), f"surname-{script(first)}") if gender is None else (*m.span(2), f"given-{gender}-{script(first)}"))
-        elif second and (title or gender):
-            g = gender or _TITLE[title].replace("u", "f" if first[-1] in "aeаяα" else "m")
-            got += [(*m.span(2), f"given-{g}-{script(first)}"), (*m.span(3), f"surname-{script(second)}")]
+    got += _names(text)
     out, end = [], 0
     for a, b, k in sorted(got, key=lambda x: (x[0], -x[1])):
         if a >= end:
@@ -173,6 +238,8 @@ def surrogate(kind: str, canon: str, attempt: int, key: bytes = KEY) -> str:
     if kind == "secret":
         hexes = re.fullmatch(r"[0-9a-fA-F]+", canon) is not None
         return "".join(d.like(c, hexes) for c in canon)
+    if kind.endswith("-other"):                              # a script without lists; later candidates are longer
+        return "".join((x := _alike(c))[d.below(len(x))] for c in canon + canon[-1] * attempt)
     names = GIVEN[(kind.split("-")[2], kind.split("-")[1])] if kind.startswith("given") else SURNAMES[kind.split("-")[1]]
     name = names[d.below(len(names))]
     if attempt:                                              # a list is short: later candidates are double names

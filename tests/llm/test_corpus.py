@@ -3,6 +3,7 @@ import collections
 import gzip
 import hashlib
 import random
+import unicodedata
 
 import numpy as np
 import pytest
@@ -321,3 +322,28 @@ def test_surrogates_stay_distinct(spark):
                                  + [("ssn", f"{i:09d}") for i in range(50)], "kind string, canon string")
     rows = surrogates.assign(ents).collect()
     assert len(rows) == 410 and len({(r.kind.split("-")[0], r.found) for r in rows}) == 410
+
+
+def test_surrogates_find_every_name():
+    found = lambda t: [t[a:b] for a, b, _ in surrogates.find(t)]
+    for lead in ("Contact", "President", "Hello", "The Honourable"):
+        assert found(f"{lead} Mary Smith today.") == ["Mary", "Smith"]
+    assert found("Hello Anna") == ["Anna"] and found("CALL MARY SMITH") == ["MARY", "SMITH"]
+    assert found("Mary Smith called. Mary said") == ["Mary", "Smith", "Mary"]
+    assert found("Weber knew. Dr. Anna Weber spoke, Weber left, WEBER's car") == ["Weber", "Anna", "Weber", "Weber", "WEBER"]
+    assert found("Prof. Dr. Weber and John Q. Public, Mrs. Smith-Miller, Peter van Dyke") == \
+        ["Weber", "John", "Public", "Smith-Miller", "Peter", "Dyke"]
+    assert found("Anna Maria Lopez met Thomas Martin. The Dr was in") == ["Anna", "Maria", "Lopez", "Thomas", "Martin"]
+    assert found("Contact President Lincoln Street") == [] and found("Ask Анна Петрова") == ["Анна", "Петрова"]
+    assert surrogates.canonical("surname-latin", "SMITH") == surrogates.canonical("surname-latin", "Smith")
+
+
+def test_surrogates_keep_the_script(spark):
+    t = ["Dr. Anna Weber came. Weber left, ANNA WEBER too.", "Mr. 王伟 and Mr. محمد met Mr. כהן"]
+    got = {r.doc_id: r.text for r in surrogates.replace(docs_of(spark, t)).collect()}
+    w = got[0].replace(".", "").replace(",", "").split()
+    assert w[2] == w[4] != "Weber" and w[6:8] == [w[1].upper(), w[2].upper()] and not {"Anna", "ANNA"} & set(w)
+    w = got[1].split()
+    for new, old in ((w[1], "王伟"), (w[4], "محمد"), (w[7], "כהן")):
+        kind = lambda s: {unicodedata.name(c).split(" ")[0] for c in s}
+        assert new != old and kind(new) == kind(old)
