@@ -17,7 +17,9 @@ replacement is of the same kind and shape:
 Collision check: an entity takes its first candidate that no other entity holds and that is
 not itself an entity of the corpus. Candidates are compared by joins and
 grouped minima; the entities that lose take their next candidate, in rounds, until none is
-left. Names beyond the lists are made longer, so candidates never run out.
+left. Names get one word more in each round. Other kinds keep their shape for ``PLAIN`` rounds; then e-mails, secrets,
+phone and social security numbers get longer with each round, and addresses go to 10.0.0.0/8 if they are private, then
+to the unused 240.0.0.0/4. So the candidates of a round outnumber the entities left after few rounds.
 
 Defined cases: null texts stay null and texts without entities stay as they are; overlapping matches go to
 the earliest, then longest; repeated rows get equal results; rows are told apart by (doc_id, text), so
@@ -40,6 +42,7 @@ from pyspark.sql import types as T
 from . import common as C
 
 KEY = b"dockline surrogates"
+PLAIN = 4                   # rounds in which candidates have their entity's shape
 
 # Given names by script and gender, surnames by script, titles by gender.
 GIVEN = {
@@ -214,12 +217,13 @@ class _Draw:
 def surrogate(kind: str, canon: str, attempt: int, key: bytes = KEY) -> str:
     """The entity's candidate, in canonical form."""
     d = _Draw(kind, canon, attempt, key)
+    more = 2 * max(0, attempt - PLAIN + 1)                   # characters beyond the entity's own
     if kind == "email":
         head, _, top = canon.rpartition(".")
-        return "".join(d.like(c) for c in head) + "." + top
+        return "".join(d.like(c) for c in "a" * more + head) + "." + top
     if kind == "phone":
         keep = max(0, len(canon) - 10)                       # the country code
-        return canon[:keep] + "".join(str(d.below(9) + 1) if i == 0 else str(d.below(10)) for i in range(len(canon) - keep))
+        return canon[:keep] + "".join(str(d.below(9) + 1) if i == 0 else str(d.below(10)) for i in range(len(canon) - keep + more))
     if kind == "card":
         body = canon[0] + "".join(str(d.below(10)) for _ in canon[2:])
         ok = [c for c in "0123456789" if luhn(body + c) == luhn(canon)]
@@ -227,6 +231,10 @@ def surrogate(kind: str, canon: str, attempt: int, key: bytes = KEY) -> str:
     if kind == "ip":
         a = [int(x) for x in canon.split(".")]
         keep = 2 if a[0] == 192 and a[1] == 168 else 1 if a[0] in (10, 127) else 0
+        if keep == 2 and attempt >= PLAIN:
+            a, keep = [10, 0, 0, 0], 1
+        if attempt >= 2 * PLAIN:
+            a, keep = [240 + d.below(15), 0, 0, 0], 1
         out = a[:keep] + [d.below(254) + 1 for _ in a[keep:]]
         if not keep:
             out[0] = [x for x in range(11, 224) if x not in (127, 169, 172, 192)][d.below(209)]
@@ -234,16 +242,16 @@ def surrogate(kind: str, canon: str, attempt: int, key: bytes = KEY) -> str:
     if kind == "iban":
         return canon[:2] + "".join(d.like(c) for c in canon[2:])
     if kind == "ssn":
-        return "".join(str(d.below(9) + 1) for _ in canon)
+        return "".join(str(d.below(9) + 1) for _ in range(len(canon) + more))
     if kind == "secret":
         hexes = re.fullmatch(r"[0-9a-fA-F]+", canon) is not None
-        return "".join(d.like(c, hexes) for c in canon)
+        return "".join(d.like(c, hexes) for c in canon + "a" * more)
     if kind.endswith("-other"):                              # a script without lists; later candidates are longer
         return "".join((x := _alike(c))[d.below(len(x))] for c in canon + canon[-1] * attempt)
     names = GIVEN[(kind.split("-")[2], kind.split("-")[1])] if kind.startswith("given") else SURNAMES[kind.split("-")[1]]
     name = names[d.below(len(names))]
     if attempt:                                              # a list is short: later candidates are double names
-        name += "-" + "-".join(names[d.below(len(names))] for _ in range(1 + attempt // 8))
+        name += "-" + "-".join(names[d.below(len(names))] for _ in range(attempt))
     return name
 
 
@@ -251,7 +259,7 @@ def fitted(kind: str, canon: str, found: str, mention: str) -> str:
     """The replacement ``found`` of ``canon`` in the format of ``mention``."""
     if kind in ("phone", "card", "ssn", "iban"):
         it = iter(found)
-        return "".join(next(it) if (c.isdigit() or kind == "iban" and c.isalnum()) else c for c in mention)
+        return "".join(next(it) if (c.isdigit() or kind == "iban" and c.isalnum()) else c for c in mention) + "".join(it)
     if kind == "email" and mention != canon and len(mention) == len(found):
         return "".join(f.upper() if m.isupper() else f for f, m in zip(found, mention))
     return found.upper() if mention.isupper() and kind.startswith(("given", "surname")) else found
@@ -275,20 +283,24 @@ def assign(entities: DataFrame, key: bytes = KEY) -> DataFrame:
 
     family = lambda: F.substring_index("kind", "-", 1)  # noqa: E731  names of either gender are told apart, too
     real = entities.select(family().alias("family"), F.col("canon").alias("found")).distinct()
-    taken, open_, attempt = None, entities.withColumn("family", family()), 0
+    # what is taken: by the first round, which most entities win, and by all later ones together
+    first, later, open_, attempt = None, None, entities.withColumn("family", family()), 0
     while True:
-        tried = open_.withColumn("found", candidate("kind", "canon", F.lit(attempt)))
-        free = tried.join(real, ["family", "found"], "left_anti")
-        if taken is not None:
-            free = free.join(taken.select("family", "found"), ["family", "found"], "left_anti")
+        free = open_.withColumn("found", candidate("kind", "canon", F.lit(attempt)))
+        for held in (real, first, later):
+            if held is not None:
+                free = free.join(held.select("family", "found"), ["family", "found"], "left_anti")
         # of those that want the same, the first in order gets it
         best = free.groupBy("family", "found").agg(F.min(F.struct("kind", "canon")).alias("b"))
         won = C.materialize(best.select("family", "b.kind", "b.canon", "found"), "surrogates")
-        taken = won if taken is None else taken.unionByName(won)
+        if first is None:
+            first = won
+        else:
+            later = won if later is None else C.materialize(later.unionByName(won), "surrogates-later")
         open_ = C.materialize(open_.join(won, ["kind", "canon"], "left_anti"), "surrogates-open")
         attempt += 1
         if not open_.limit(1).count():
-            return taken.select("kind", "canon", "found")
+            return (first if later is None else first.unionByName(later)).select("kind", "canon", "found")
 
 
 OUT = "doc_id long, text string, n_entities int, n_distinct int"

@@ -347,3 +347,21 @@ def test_surrogates_keep_the_script(spark):
     for new, old in ((w[1], "王伟"), (w[4], "محمد"), (w[7], "כהן")):
         kind = lambda s: {unicodedata.name(c).split(" ")[0] for c in s}
         assert new != old and kind(new) == kind(old)
+
+
+def test_surrogates_end_when_a_shape_runs_out(spark, monkeypatch):
+    calls, write = [], surrogates.C.materialize
+
+    def few(df, name):
+        calls.append(name)
+        assert len(calls) < 60, "rounds without end"
+        return write(df, name)
+    monkeypatch.setattr(surrogates.C, "materialize", few)
+    abc = "abcdefghijklmnopqrstuvwxyz"
+    ents = [("email", f"{a}@{b}.de") for a in abc for b in abc] + [("phone", f"1{i:04d}") for i in range(10000)]
+    ents += [("ip", f"192.168.{i}.{j}") for i in range(1, 255) for j in range(1, 255, 2)]
+    rows = surrogates.assign(spark.createDataFrame(ents, "kind string, canon string")).collect()
+    assert len(rows) == len({(r.kind, r.found) for r in rows}) == len(ents)
+    assert not {(r.kind, r.found) for r in rows} & set(ents)
+    assert all(r.found.startswith(("192.168.", "10.", "24", "25")) for r in rows if r.kind == "ip")
+    assert surrogates.fitted("phone", "10000", "1234567", "+1 00-00") == "+1 23-4567"
