@@ -11,7 +11,12 @@ the same rows give the same thresholds in any order of merging.
 A ratio is out of line when it lies beyond ``q75 + FENCE * spread`` (word
 length also below ``q25 - FENCE * spread``), spread being the interquartile
 range of the group, and at least the ratio's ``MIN_SPREAD``, so that a group of
-nearly equal clean documents doesn't reject its own small variations.
+nearly equal clean documents doesn't reject its own small variations. Junk lies on one side: where it
+reaches a quartile, that quartile counts as no farther from the median than the other one (or half of
+``MIN_SPREAD``). So a group's fence holds with up to half of its rows junk. Beyond that it is
+held by the others: no group's fence lies beyond that of its language, if that has ``MIN_GROUP`` documents, nor
+beyond that of all rows. Only word length isn't held by all rows, since languages
+differ in it (and those without blanks most of all).
 
 Defined cases: null and blank texts have no words, so all counts are 0 and
 the base rule fails; null ``lang`` or ``source`` form groups of their own; repeated
@@ -110,8 +115,13 @@ def fences(sketches: DataFrame, *keys: str) -> DataFrame:
     q = cum.groupBy(*keys, "ratio").agg(
         F.max("total").alias("n_docs"),
         F.min(F.when(4 * F.col("cum") >= F.col("total"), F.col("bin"))).alias("q25"),
+        F.min(F.when(2 * F.col("cum") >= F.col("total"), F.col("bin"))).alias("q50"),
         F.min(F.when(4 * F.col("cum") >= 3 * F.col("total"), F.col("bin"))).alias("q75"))
     least = F.coalesce(*[F.when(F.col("ratio") == k, F.lit(v)) for k, v in MIN_SPREAD.items()])
+    half = F.floor(least / 2).cast("long")
+    q = q.withColumns({
+        "q25": F.greatest("q25", F.col("q50") - F.greatest(F.col("q75") - F.col("q50"), half)),
+        "q75": F.least("q75", F.col("q50") + F.greatest(F.col("q50") - F.col("q25"), half))})
     spread = F.greatest(F.col("q75") - F.col("q25"), least)
     q = q.withColumns({"lo": F.col("q25") - FENCE * spread, "hi": F.col("q75") + FENCE * spread})
     one = lambda k, v: F.max(F.when(F.col("ratio") == k, F.col(v))).alias(f"{v}_{k}")
@@ -120,7 +130,8 @@ def fences(sketches: DataFrame, *keys: str) -> DataFrame:
 
 def thresholds(sketches: DataFrame) -> DataFrame:
     """(lang, source, lo_*, hi_*) for every group met, taken from the finest of
-    (lang, source), lang, all that has ``MIN_GROUP`` documents, else from all."""
+    (lang, source), lang, all that has ``MIN_GROUP`` documents, else from all, and
+    not beyond those of the coarser groups."""
     edges = [f"{v}_{k}" for k in MIN_SPREAD for v in ("lo", "hi")]
     fine = fences(sketches, "lang", "source")
     by_lang = fences(merge(sketches, "lang"), "lang").select(
@@ -130,8 +141,12 @@ def thresholds(sketches: DataFrame) -> DataFrame:
         F.col("k").alias("_k"), *[F.col(e).alias("a_" + e) for e in edges])
     df = fine.join(by_lang, F.col("lang").eqNullSafe(F.col("_lang")), "left").withColumn("k", F.lit(1))
     df = df.join(F.broadcast(whole), F.col("k") == F.col("_k"), "left")
-    pick = lambda e: (F.when(F.col("n_docs") >= MIN_GROUP, F.col(e)).when(F.col("_n") >= MIN_GROUP, F.col("l_" + e))
-                      .otherwise(F.col("a_" + e)))
+    alone, spoken = F.col("n_docs") >= MIN_GROUP, F.col("_n") >= MIN_GROUP
+
+    def pick(e: str):
+        tighter = F.greatest if e.startswith("lo_") else F.least      # nulls don't count
+        whole_ = F.when(~spoken, F.col("a_" + e)) if e.endswith("_wlen") else F.col("a_" + e)
+        return tighter(F.when(alone, F.col(e)), F.when(spoken, F.col("l_" + e)), whole_)
     return df.select("lang", "source", *[pick(e).alias("t_" + e) for e in edges])
 
 

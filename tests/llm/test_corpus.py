@@ -365,3 +365,20 @@ def test_surrogates_end_when_a_shape_runs_out(spark, monkeypatch):
     assert not {(r.kind, r.found) for r in rows} & set(ents)
     assert all(r.found.startswith(("192.168.", "10.", "24", "25")) for r in rows if r.kind == "ip")
     assert surrogates.fitted("phone", "10000", "1234567", "+1 00-00") == "+1 23-4567"
+
+
+def test_quality_junk_does_not_move_the_fence(spark):
+    rng = random.Random(13)
+    text = lambda: " ".join(words(rng, 80))
+    junk = [lambda: " ".join(w + " ###" for w in words(rng, 60)), lambda: text().upper(),
+            lambda: " ".join(w + "x" * 60 for w in words(rng, 60)),
+            lambda: "\nx\n".join(" ".join(words(rng, 8)) for _ in range(9))]
+    rows = []
+    for k, bad in enumerate(junk):                            # a source of each kind of junk, 40% of its rows
+        rows += [(bad() if i < 80 else text(), "en", f"mixed{k}", i < 80) for i in range(200)]
+    rows += [(junk[i % 2](), "en", "hot", True) for i in range(1200)]           # a third of all rows, all junk
+    rows += [(text(), lang, f"clean{i % 3}", False) for lang in ("en", "de") for i in range(900)]
+    docs = spark.createDataFrame([(i, t, lang, source, len(t)) for i, (t, lang, source, _) in enumerate(rows)], DOCS)
+    got = {r.doc_id: r for r in quality.rules(docs).collect()}
+    wrong = [(i, r[2], r[3]) for i, r in enumerate(rows) if got[i].kept == r[3]]
+    assert not wrong and not any(got[i].base_failed for i, r in enumerate(rows) if r[3])
