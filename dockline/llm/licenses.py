@@ -2,7 +2,9 @@
 
 Texts and templates are sequences of words (lower case, letters and digits); their five-word
 shingles are hashed. For a template of ``s`` shingles a text has windows of ``2 s``
-shingles, one every ``s``, so that every passage as long as the template lies in one as a whole.
+shingles, one every ``s``, so that every passage as long as the template lies in one as a whole. A longer passage
+(with words put in between) can lie across them: where none of them contains the template, the windows
+at all starts are judged, by the exact share alone.
 
 A window with at least ``CONTAINED`` of the template has a Jaccard similarity of
 0.36 or more with it. Signatures have ``BANDS`` bands of one minimum each: such a window meets its template in some
@@ -12,7 +14,8 @@ that hold some shingle of the template: the others can't meet it. Windows that m
 the exact share of the template's shingles that they contain.
 
 Defined cases: null and blank texts and texts under five words match nothing; a template
-repeated in a document gives one row, with the place of its best (then first) window; repeated
+repeated in a document gives one row, with the place of its best (then first) window, of those every ``s`` if
+one of them contains it, else of all; repeated
 rows give one row per doc_id and template; an empty table gives an empty result.
 """
 from __future__ import annotations
@@ -88,21 +91,31 @@ def scan(docs: DataFrame, templates=tuple(TEMPLATES)) -> DataFrame:
     any_ = [x for r in known for x in r.h]
     df = with_shingles(docs.select("doc_id", "text"), "text", "w", "h")
     df = df.withColumn("at", F.filter(F.transform("h", lambda x, i: F.when(x.isin(any_), i)), lambda i: i.isNotNull())).filter(F.size("at") > 0)
-    # the windows that hold a shingle of a template, by template and number
-    df = df.withColumn("win", F.array_distinct(F.flatten(F.transform("at", lambda q: F.flatten(F.transform(
-        F.filter(t, lambda x: F.array_contains(x["h"], F.get(F.col("h"), q))),
-        lambda x: F.transform(F.array(F.lit(0), F.lit(1)), lambda back: F.struct(
-            x["no"].alias("no"), (F.floor(q / x["s"]) - back).cast("int").alias("k")))))))))
-    df = df.select("doc_id", "h", F.explode_outer("win").alias("win")).filter("win.k >= 0")
-    df = df.withColumn("t", F.element_at(F.filter(t, lambda x: x["no"] == F.col("win.no")), 1))
-    df = df.withColumn("start", F.col("win.k") * F.col("t.s"))
-    df = df.withColumn("h", F.slice("h", F.col("start") + 1, 2 * F.col("t.s")))
-    # banded signatures: one equal minimum makes a candidate
-    df = df.withColumn("m", F.array(*_minima(F.col("h"))))
-    df = df.filter(F.exists(F.zip_with("m", "t.m", lambda a, b: a == b), lambda x: x))
-    df = df.withColumn("shared", F.size(F.array_intersect("h", "t.h"))).withColumn("n_shingles", F.size("t.h"))
-    df = df.filter(5 * F.col("shared") >= 4 * F.col("n_shingles"))
-    best = df.groupBy("doc_id", F.col("win.no").alias("template"), "n_shingles").agg(F.max(F.struct("shared", (-F.col("start")).alias("neg"))).alias("b"))
+    # per template the positions of its shingles, where there are enough of them to contain it
+    df = df.withColumn("per", F.transform(t, lambda x: F.struct(
+        x.alias("t"), F.filter("at", lambda q: F.array_contains(x["h"], F.get(F.col("h"), q))).alias("q"))))
+    df = df.select("doc_id", "h", F.explode(F.filter("per", lambda x: 5 * F.size(x["q"]) >= 4 * F.size(x["t"]["h"]))).alias("x"))
+    df = df.select("doc_id", "h", "x.t", "x.q").withColumn("n_shingles", F.size("t.h"))
+    s, least = F.col("t.s"), F.ceil(4 * F.col("n_shingles") / 5).cast("int")
+    # windows every s shingles that hold some of them; one equal minimum of a banded signature makes a candidate
+    k = F.filter(F.array_distinct(F.flatten(F.transform("q", lambda q: F.array(F.floor(q / s), F.floor(q / s) - 1)))), lambda k: k >= 0)
+    df = df.withColumn("wins", F.transform(k, lambda k: F.struct(
+        (k * s).cast("int").alias("start"), F.slice("h", (k * s).cast("int") + 1, 2 * s).alias("h"))))
+    bands = F.sequence(F.lit(0), F.lit(BANDS - 1))
+    df = df.withColumn("grid", F.transform(
+        F.filter("wins", lambda w: F.exists(bands, lambda b: F.get(F.col("t.m"), b) == F.array_min(
+            F.transform(w["h"], lambda x: F.xxhash64(x, b))))),
+        lambda w: F.struct(F.size(F.array_intersect(w["h"], F.col("t.h"))).alias("shared"), (-w["start"]).alias("neg"))))
+    # a passage may lie across all of those: then every start counts. The best window can begin at a shingle of the
+    # template; only windows with enough of them, counted by their positions, are looked into
+    full = F.transform("q", lambda q, j: F.when(F.get(F.col("q"), j + least - 1) < q + 2 * s, F.struct(
+        F.size(F.array_distinct(F.transform(F.filter(F.slice("q", j + 1, 2 * s), lambda p: p < q + 2 * s),
+                                            lambda p: F.get(F.col("h"), p)))).alias("shared"), (-q).alias("neg"))))
+    top = lambda ws: F.array_max(F.filter(ws, lambda w: w["shared"] >= least))
+    df = df.withColumn("g", top(F.col("grid"))).withColumn("on_grid", F.col("g").isNotNull())
+    df = df.withColumn("b", F.when(F.col("on_grid"), F.col("g")).otherwise(top(full))).filter(F.col("b").isNotNull())
+    best = df.groupBy("doc_id", F.col("t.no").alias("template"), "n_shingles").agg(
+        F.max(F.struct("on_grid", F.col("b.shared").alias("shared"), F.col("b.neg").alias("neg"))).alias("b"))
     name = F.element_at(F.array(*[F.lit(k) for k, _ in templates]), F.col("template") + 1)
     return best.select("doc_id", name.alias("license"), "template", (-F.col("b.neg")).alias("start"), F.col("b.shared").alias("shared"), "n_shingles")
 

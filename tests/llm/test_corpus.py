@@ -382,3 +382,25 @@ def test_quality_junk_does_not_move_the_fence(spark):
     got = {r.doc_id: r for r in quality.rules(docs).collect()}
     wrong = [(i, r[2], r[3]) for i, r in enumerate(rows) if got[i].kept == r[3]]
     assert not wrong and not any(got[i].base_failed for i, r in enumerate(rows) if r[3])
+
+
+def test_license_passages_across_windows(spark):
+    rng = random.Random(17)
+    mit, texts = licenses.TEMPLATES[1][1].split(), []
+    for added in (16, 24, 32, 60):
+        for lead in range(45):
+            texts.append(" ".join(words(rng, lead) + mit[:25] + words(rng, added) + mit[25:] + words(rng, 50)))
+    split = lambda t: "".join(c if c.isalnum() else " " for c in t.lower()).split()
+    grams = lambda w: [tuple(w[i:i + 5]) for i in range(len(w) - 4)]
+    want = set()
+    for no, (_, template) in enumerate(licenses.TEMPLATES):
+        known = grams(split(template))
+        for i, t in enumerate(texts):
+            g = grams(split(t))
+            if any(5 * len(set(g[a:a + 2 * len(known)]) & set(known)) >= 4 * len(set(known)) for a in range(len(g))):
+                want.add((i, no))
+    rows = licenses.scan(docs_of(spark, texts)).collect()
+    assert {(r.doc_id, r.template) for r in rows} == want and {(i, 1) for i in range(135)} <= want
+    for r in rows:
+        known = grams(split(licenses.TEMPLATES[r.template][1]))
+        assert r.shared == len(set(grams(split(texts[r.doc_id]))[r.start:r.start + 2 * len(known)]) & set(known))
