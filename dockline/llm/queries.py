@@ -9,12 +9,15 @@ from . import common as C
 from . import decontaminate as Q6
 from . import licenses as Q2
 from . import linedup as Q4
+from . import manifest as Q11
 from . import mixing as Q8
 from . import neardup as Q10
+from . import phrases as Q13
 from . import quality as Q9
 from . import repeats as Q7
 from . import surrogates as Q1
 from . import toxicity as Q5
+from . import urlrules as Q12
 
 QUERIES, ORACLE = {}, {}
 
@@ -81,3 +84,18 @@ def op2(spark, d):
 @query("op1_pii_surrogates")
 def op1(spark, d):
     return Q1.replace(C.table(spark, d, "documents"))
+
+
+@query("op11_merkle_manifest", Q11.ORACLE)
+def op11(spark, d):
+    return Q11.audit(C.table(spark, d, "documents"))
+
+
+@query("op12_url_filters", Q12.ORACLE)
+def op12(spark, d):
+    return Q12.judge(C.table(spark, d, "pages"), Q12.fixed_rules(spark))
+
+
+@query("op13_collocations", Q13.ORACLE)
+def op13(spark, d):
+    return Q13.collocations(C.table(spark, d, "documents"))
