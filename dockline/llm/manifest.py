@@ -153,6 +153,8 @@ def manifest(docs: DataFrame, fields=FIELDS, group: str = "lang", order: str = "
     g = F.coalesce(F.concat(F.lit("="), F.col(group).cast("string")), F.lit(""))          # null first, then bytewise
     leaves = docs.select(g.alias("g"), F.col(group).alias("_group"), F.col(order).alias("_order"),
                          leaf([F.col(f) for f in fields]).alias("digest"), *[e.alias(f"_x_{c}") for c, e in extra.items()])
+    # written before the range partitioning, whose sampling would hash all texts once more
+    leaves = C.materialize(leaves, "merkle-hashed")
     tree = Tree(numbered(leaves, "g", ["_order", "digest"], "merkle-leaves"), fanout, "merkle")
     subroots = tree.roots.select(F.lit(0).alias("_one"), "g", F.col("subroot"))
     over = numbered(subroots, "_one", ["g"], "merkle-groups").select(
