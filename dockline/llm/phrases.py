@@ -42,8 +42,9 @@ MAX_WORDS = 3
 MIN_COUNT = 10
 COVER = (50, 100)          # an extension covers a phrase from 50 of 100 occurrences on
 TOP = 2000
-SLICE = 1 << 24            # bytes of text counted at a time
+SLICE = 1 << 22            # bytes of text counted at a time
 FILTER_BITS = 1 << 24
+SPREAD = 32
 NO_LANG = "und"
 
 # byte classes: 0 word, 1 blank, 2 end of a piece
@@ -86,7 +87,7 @@ class Tokens:
         runs = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(data)])
         d = runs.dictionary_encode()
         self.vocab = d.dictionary.cast(pa.large_string())
-        self.ids = d.indices.to_numpy().astype(np.int64)
+        self.ids = d.indices.to_numpy()
         self.cls = cls[offsets[:-1]] if len(data) else cls
         self.word = self.cls == 0
 
@@ -105,18 +106,26 @@ def _grams(t: Tokens, n: int, passing) -> tuple[list[np.ndarray], np.ndarray]:
         at = [h[t.ids[start + 2 * k]] for k in range(n)]
         ok = passing(_chain(at[:-1])) & passing(_chain(at[1:]))
         start = start[ok]
-    # packed two by two: the number of the first k words, then the next word
-    key, firsts = t.ids[start], None
+    # packed two by two: the number of the distinct first k words, then the next word
+    key, levels = t.ids[start].astype(np.int64), []
     for k in range(1, n):
         if k > 1:
-            key = np.unique(key, return_inverse=True)[1].astype(np.int64)
+            distinct, key = np.unique(key, return_inverse=True)
+            levels.append(distinct)
         key = (key << 32) | t.ids[start + 2 * k]
-    _, firsts, counts = np.unique(key, return_index=True, return_counts=True)
-    return [t.ids[start[firsts] + 2 * k] for k in range(n)], counts
+    distinct, counts = np.unique(key, return_counts=True)
+    parts = []
+    while n > 1 and len(parts) < n - 1:
+        parts.append(distinct & 0xFFFFFFFF)
+        distinct = distinct >> 32
+        if levels:
+            distinct = levels.pop()[distinct]
+    return [distinct] + parts[::-1], counts
 
 
 def _counter(n: int, bits):
-    """Task function: (lang, text) batches to (lang, w1..wn, n) of slices of texts."""
+    """Task function: (lang, text) batches to (gram, n) of slices of texts; a gram is its words, which hold
+    no blank, and then the language."""
     def run(batches):
         filt = None if bits is None else bits.value
 
@@ -129,10 +138,9 @@ def _counter(n: int, bits):
                 t = Tokens(pa.concat_arrays(held[lang]))
                 parts, counts = _grams(t, n, passing if filt is not None else None)
                 for lo in range(0, len(counts), 1 << 16):
-                    words = [t.vocab.take(pa.array(p[lo:lo + (1 << 16)])).cast(pa.string()) for p in parts]
-                    c = counts[lo:lo + (1 << 16)]
-                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(c), pa.string())] + words + [pa.array(c, pa.int64())],
-                                                     names=["lang"] + [f"w{i + 1}" for i in range(n)] + ["n"])
+                    words = [t.vocab.take(pa.array(p[lo:lo + (1 << 16)])) for p in parts]
+                    grams = pc.binary_join_element_wise(*words, pa.scalar(lang, pa.large_string()), pa.scalar(" ", pa.large_string()))
+                    yield pa.RecordBatch.from_arrays([grams.cast(pa.string()), pa.array(counts[lo:lo + (1 << 16)], pa.int64())], names=["gram", "n"])
         held, size = {}, 0
         for b in batches:
             langs, texts = b.column(0), b.column(1).cast(pa.large_string())
@@ -178,8 +186,9 @@ def streams(docs: DataFrame, max_words: int = MAX_WORDS, min_count: int = MIN_CO
     src = docs.filter("text IS NOT NULL").select(F.coalesce("lang", F.lit(NO_LANG)).cast("string").alias("lang"), "text")
     total, out, filt = None, [], None
     for n in range(1, max_words + 1):
-        cols = ", ".join(f"{w} string" for w in _w(n))
-        got = src.mapInArrow(_counter(n, filt), f"lang string, {cols}, n long").groupBy("lang", *_w(n)).agg(F.sum("n").alias("n"))
+        part = F.split("gram", " ", n + 1)
+        got = (src.mapInArrow(_counter(n, filt), "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+               .select(part[n].alias("lang"), *[part[i].alias(w) for i, w in enumerate(_w(n))], "n"))
         if n == 1:
             got = C.materialize(got, "phrase-words")
             total = got.groupBy("lang").agg(F.sum("n").alias("n"))
@@ -223,7 +232,11 @@ def collocations(docs: DataFrame, max_words: int = MAX_WORDS, min_count: int = M
         cand = cand.withColumn("cut", F.array_min(cuts)).select(
             "lang", F.concat_ws(" ", *_w(n)).alias("phrase"), "a", F.col("cut.l").alias("l"), F.col("cut.r").alias("r"), F.col("cut.score").alias("score"))
         found = cand if found is None else found.unionByName(cand)
-    best = W.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(), "phrase")
+    # first within parts of a language, so that no task sorts more than SPREAD times ``top`` phrases of one
+    order = [F.col("score").desc(), F.col("a").desc(), F.col("phrase")]
+    found = found.withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(SPREAD)))
+    found = found.withColumn("rank", F.row_number().over(W.partitionBy("lang", "part").orderBy(*order))).filter(F.col("rank") <= top)
+    best = W.partitionBy("lang").orderBy(*order)
     ranked = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= top)
     return ranked.join(total, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
 
