@@ -23,8 +23,3 @@ def haversine_km(lat1, lon1, lat2, lon2) -> Column:
     dlmb = F.radians(lo2 - lo1)
     a = F.pow(F.sin(dphi / 2), 2) + F.cos(F.radians(la1)) * F.cos(F.radians(la2)) * F.pow(F.sin(dlmb / 2), 2)
     return F.lit(2 * S.EARTH_RADIUS_KM) * F.atan2(F.sqrt(a), F.sqrt(F.lit(1.0) - a))
-
-
-def km_per_degree_lat() -> float:
-    import math
-    return math.pi * S.EARTH_RADIUS_KM / 180.0

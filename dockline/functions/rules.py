@@ -10,6 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .. import settings as S
+from . import timefn as T
 
 
 def _c(x) -> Column:
@@ -127,10 +128,26 @@ def reading_row_violation(station_id="station_id", bikes="num_bikes_available",
 
 
 def alert_row_violation(alert_type="alert_type", severity="severity", description="description") -> Column:
+    """First violated constraint of the ``pipeline_alertes`` table."""
     t, sev, desc = map(_c, (alert_type, severity, description))
     return _first_failure([
         (t.isNull(), "alert_type_null"),
-        (_len_over(t, 64), "alert_type_too_long"),
+        (_len_over(t, S.MAX_LEN_ALERT_TYPE), "alert_type_too_long"),
         (sev.isNull() | ~sev.isin(*S.SEVERITIES), "severity_not_allowed"),
         (desc.isNull(), "description_null"),
     ])
+
+
+# ---- F1 / F2 over one record of an envelope ---------------------------------
+def record_station_valid(r: Column) -> Column:
+    geo = r["coordonnees_geo"]
+    return station_valid(station_id=r["stationcode"], capacity=r["capacity"], latitude=geo["lat"], longitude=geo["lon"])
+
+
+def record_observed_at(r: Column) -> Column:
+    return T.to_ntz(T.parse_instant(r["duedate"]))
+
+
+def record_reading_valid(r: Column) -> Column:
+    return reading_valid(station_id=r["stationcode"], bikes=r["numbikesavailable"], docks=r["numdocksavailable"],
+                         observed_at=record_observed_at(r), capacity=r["capacity"])

@@ -1,12 +1,12 @@
 """Quality and supervision alerts.
 
-Every measure is a grouped aggregate with map-side partial aggregation
-(count_if / max / max_by), so a hot micro-batch or source is combined per
-task before the shuffle and nothing is collected to the driver.
+Records are reduced to one row per message first (``per_message``, or inside the row by
+``parse.summarise``); the measures of a micro-batch are aggregates over messages with
+map-side partial aggregation, so a hot micro-batch or source is combined per task before the shuffle.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import settings as S
@@ -35,18 +35,33 @@ def _alert(df: DataFrame, alert_type: str, severity: str, description: Column, m
     )
 
 
+# ---- one row per message ---------------------------------------------------
+def per_message(validated: DataFrame, batch_col: str = "micro_batch", valid_col: str = "is_valid") -> DataFrame:
+    """Counts and newest valid observation of every message, from its validated records. All aggregates are of
+    fixed width, so records go through a hash aggregate; frames that hold one row per message
+    already (``parse.summarise``) are returned as they are."""
+    if "n_total" in validated.columns:
+        return validated
+    seen = F.max(F.when(F.col(valid_col), F.col("observed_at"))) if "observed_at" in validated.columns else F.lit(None).cast("timestamp_ntz")
+    return validated.groupBy(batch_col, "timestamp", "topic", "partition", "offset", "batch_id", "fetched_at").agg(
+        F.count(F.lit(1)).alias("n_total"), F.count_if(F.col(valid_col)).alias("n_valid"), seen.alias("newest_observed"))
+
+
+_NEWEST = ("timestamp", "partition", "offset")
+
+
 # ---- A12: reject ratio per micro-batch ------------------------------------
 def reject_ratio(validated: DataFrame, batch_col: str = "micro_batch", valid_col: str = "is_valid") -> DataFrame:
-    """One row per micro-batch: records, valid records, ratio, the id of the
+    """One row per micro-batch with records: records, valid records, ratio, the id of the
     batch's newest message by (timestamp, partition, offset) (D2) and the
     newest fetch time (the batch's ``as_of``). The ratio is rejected / total:
     ``1 - valid / total`` would give 0.020000000000000018 for 2 rejects in
     100 and break the strict threshold."""
-    newest = F.struct("timestamp", "partition", "offset")
-    return (validated.groupBy(batch_col).agg(
-        F.count(F.lit(1)).alias("n_total"),
-        F.count_if(F.col(valid_col)).alias("n_valid"),
-        F.max_by("batch_id", newest).alias("batch_id"),
+    m = per_message(validated, batch_col, valid_col).filter("n_total > 0")
+    return (m.groupBy(batch_col).agg(
+        F.sum("n_total").alias("n_total"),
+        F.sum("n_valid").alias("n_valid"),
+        F.max_by("batch_id", F.struct(*_NEWEST)).alias("batch_id"),
         F.max("fetched_at").alias("as_of"),
     ).withColumn("reject_ratio", (F.col("n_total") - F.col("n_valid")).cast("double") / F.col("n_total")))
 
@@ -66,11 +81,11 @@ def freshness(validated: DataFrame, batch_col: str = "micro_batch", valid_col: s
     """Age in minutes of the newest *valid* reading of each micro-batch, seen
     from ``as_of`` (default: the batch's newest fetch time; D9). Batches
     without a valid row give no row (no freshness alert)."""
-    newest = F.struct("timestamp", "partition", "offset")
-    g = (validated.filter(F.col(valid_col)).groupBy(batch_col).agg(
-        F.max("observed_at").alias("max_observed_at"),
+    m = per_message(validated, batch_col, valid_col).filter("n_valid > 0")
+    g = m.groupBy(batch_col).agg(
+        F.max("newest_observed").alias("max_observed_at"),
         F.max("fetched_at").alias("as_of"),
-        F.max_by("batch_id", newest).alias("batch_id")))
+        F.max_by("batch_id", F.struct(*_NEWEST)).alias("batch_id"))
     if as_of is not None:
         g = g.withColumn("as_of", as_of.cast("timestamp_ntz"))
     return g.withColumn("freshness_min", T.minutes_between(F.col("as_of"), F.col("max_observed_at")))
@@ -111,13 +126,33 @@ def feed_gaps(fetches: DataFrame, source_col: str = "source", ts_col: str = "fet
     minutes = (fetches.select(F.col(source_col).alias("source"),
                               F.date_trunc("minute", ts_col).cast("timestamp_ntz").alias("fetched_at"))
                .distinct())
-    from pyspark.sql import Window
     w = Window.partitionBy("source").orderBy("fetched_at")
     return (minutes.withColumn("previous_fetch", F.lag("fetched_at").over(w))
                    .filter(F.col("previous_fetch").isNotNull())
                    .withColumn("gap_min", T.minutes_between(F.col("fetched_at"), F.col("previous_fetch"))))
 
 
+def gaps_after(fetches: DataFrame, state: DataFrame | None) -> DataFrame:
+    """``feed_gaps`` of a micro-batch that knows the newest earlier fetch per source (``state``: source,
+    last_fetch). Fetches up to that one have been judged by the epoch that saw them."""
+    if state is None:
+        return feed_gaps(fetches)
+    last = state.select("source", F.date_trunc("minute", "last_fetch").cast("timestamp_ntz").alias("last_fetch"))
+    late = fetches.join(last, "source", "left").filter("last_fetch IS NULL OR fetched_at > last_fetch").select("source", "fetched_at")
+    return feed_gaps(late.unionByName(last.select("source", F.col("last_fetch").alias("fetched_at"))))
+
+
+def silence_alerts(state: DataFrame, as_of: Column, threshold_min: float = S.FEED_GAP_MINUTES) -> DataFrame:
+    """Q5 without a new message: sources whose newest fetch is older than the threshold at ``as_of``."""
+    at = as_of.cast("timestamp_ntz")
+    silent = state.select("source", at.alias("now"), "last_fetch", T.minutes_between(at, F.col("last_fetch")).alias("gap_min"))
+    hot = silent.filter(F.col("gap_min") > threshold_min)
+    desc = F.concat(F.col("source"), F.lit(" feed silent for "), _tenths(F.col("gap_min")), F.lit(" minutes"))
+    # one alert per silence, however often it is looked at
+    return _alert(hot, "API_INDISPONIBLE", "CRITICAL", desc, F.col("gap_min"), F.lit(None), F.col("now"),
+                  [F.col("source"), F.lit("since"), F.unix_micros(F.col("last_fetch").cast("timestamp")).cast("string")])
+
+
 def feed_gap_alerts(gaps: DataFrame, threshold_min: float = S.FEED_GAP_MINUTES) -> DataFrame:
     hot = gaps.filter(F.col("gap_min") > threshold_min)
     desc = F.concat(F.col("source"), F.lit(" feed silent for "), _tenths(F.col("gap_min")), F.lit(" minutes"))

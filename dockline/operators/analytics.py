@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from .. import settings as S
 from ..functions import rules as R
 from ..functions import timefn as T
+from .merge import newest_rows
 
 AVG_DIGITS = 9
 
@@ -152,11 +153,9 @@ LATEST_COLS = ["num_bikes_available", "num_ebikes_available", "num_docks_availab
 
 
 def latest_reading(readings: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """Newest reading per station as a grouped ``max(struct(observed_at,
-    ...))``: partial aggregation per task, deterministic, no per-station sort."""
+    """Newest reading per station, ties by the other columns; see ``merge.newest_rows``."""
     cols = cols if cols is not None else [c for c in LATEST_COLS if c in readings.columns]
-    g = readings.groupBy("station_id").agg(F.max(F.struct("observed_at", *cols)).alias("_m"))
-    return g.select("station_id", "_m.*")
+    return newest_rows(readings, ["station_id"], "observed_at", cols)
 
 
 # ---- A14 -----------------------------------------------------------------

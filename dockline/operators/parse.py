@@ -1,8 +1,7 @@
-"""Envelope decoding and record projections.
+"""Envelope decoding and record projections (P1-P7), message summaries.
 
-All steps are narrow (Project / Generate / Filter): no shuffle. The decoded
-envelope is materialised once as a struct column and the records are
-exploded from it, so ``from_json`` is evaluated once per message.
+All steps are narrow (Project / Generate / Filter): no shuffle. ``from_json`` stands once
+in a plan of one consumer, with the fields that it reads.
 """
 from __future__ import annotations
 
@@ -21,10 +20,11 @@ def decode(messages: DataFrame, result_schema: StructType) -> DataFrame:
     """One row per message with the envelope fields. ``is_corrupt`` is
     true when the text is not a JSON envelope (D6); ``n_results`` counts the
     records (NULL or missing array -> 0, A15)."""
-    env = F.from_json(F.col("value").cast("string"), SC.envelope_schema(result_schema),
+    env = F.from_json(F.col("value").cast("string"), SC.envelope(result_schema),
                       {"columnNameOfCorruptRecord": SC.CORRUPT_COL, "mode": "PERMISSIVE"})
     extra = [c for c in messages.columns if c not in MSG_COLS + ["key", "value", "timestampType"]]
-    m = messages.select(*MSG_COLS, *extra, env.alias("env"))
+    # a generator of one row: Spark moves no filter below it, where it would parse the text once more per condition
+    m = messages.select(*MSG_COLS, *extra, F.explode(F.array(env)).alias("env"))
     return m.select(
         *MSG_COLS, *extra,
         F.col("env.source").alias("source"),
@@ -44,7 +44,8 @@ def explode_records(decoded: DataFrame, keep: list[str] | None = None) -> DataFr
     """One row per element of ``payload.results``; NULL or empty arrays
     give no row. ``pos`` keeps the element position for duplicate ordering (D4)."""
     keep = keep or (MSG_COLS + ["batch_id", "fetched_at"])
-    return decoded.select(*keep, F.posexplode("results").alias("pos", "r"))
+    # the outer form: Spark would evaluate the arrays of the inner one once more below it to drop empty ones
+    return decoded.select(*keep, F.posexplode_outer("results").alias("pos", "r")).filter(F.col("pos").isNotNull())
 
 
 def order_key() -> Column:
@@ -101,18 +102,18 @@ def with_arrival_hour(messages: DataFrame, col: str = "micro_batch") -> DataFram
     return messages.withColumn(col, F.date_trunc("hour", "timestamp").cast("timestamp_ntz"))
 
 
-def build_envelopes(records: DataFrame, group_cols: list[str], source: str, fetched_at: Column,
-                    batch_id: Column, order_cols: list[str]) -> DataFrame:
-    """Wrap records (a struct column ``record``) into JSON envelopes,
-    one per group; records inside an envelope are ordered by ``order_cols``."""
-    items = F.array_sort(F.collect_list(F.struct(*[F.col(c) for c in order_cols], F.col("record"))))
-    g = records.groupBy(*group_cols).agg(items.alias("_items"))
-    results = F.transform(F.col("_items"), lambda x: x["record"])
-    return g.select(*group_cols, fetched_at.alias("fetched_at"), batch_id.alias("batch_id"),
-                    F.to_json(F.struct(
-                        F.lit(source).alias("source"),
-                        T.iso_utc(fetched_at).alias("fetched_at"),
-                        batch_id.alias("batch_id"),
-                        F.struct(F.size(results).cast("bigint").alias("total_count"),
-                                 results.alias("results")).alias("payload"),
-                    )).alias("value"))
+# ---- one row per message ---------------------------------------------------
+def summarise(messages: DataFrame, record_schema: StructType, valid, observed=None) -> DataFrame:
+    """One small row per message instead of its records: how many there are (``n_total``), how many ``valid``
+    lets through (``n_valid``), and of these the newest observation and the sum of
+    their ages at the fetch in microseconds. Both are functions of one record; the array is reduced inside
+    the row, so nothing is exploded or shuffled."""
+    dec = decode(messages, record_schema)
+    kept = [c for c in dec.columns if c not in ("results", "total_count")]
+    good = F.filter(F.coalesce(F.col("results"), F.array()), valid)
+    seen = F.transform(F.col("good"), observed) if observed else F.array().cast("array<timestamp_ntz>")
+    df = dec.select(*kept, F.col("n_results").alias("n_total"), good.alias("good"))
+    df = df.select(*kept, "n_total", F.size("good").alias("n_valid"), seen.alias("seen"))
+    fetched = F.unix_micros(F.col("fetched_at").cast("timestamp"))
+    age = F.aggregate("seen", F.lit(0).cast("bigint"), lambda acc, t: acc + fetched - F.unix_micros(t.cast("timestamp")))
+    return df.select(*kept, "n_total", "n_valid", F.array_max("seen").alias("newest_observed"), age.alias("age_us"))

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from .. import settings as S
 from ..functions.geo import haversine_km
+from .merge import newest_rows
 
 DIST_DIGITS = 6
 
@@ -40,10 +41,9 @@ def latest_stock(readings: DataFrame, stations: DataFrame) -> DataFrame:
     Readings are reduced to one row per station before the join."""
     s = stations.filter((F.col("capacity") > 0) & F.col("commune").isNotNull()).select(
         "station_id", "name", "latitude", "longitude")
-    newest = (readings.join(s.select("station_id"), "station_id", "left_semi")
-              .groupBy("station_id")
-              .agg(F.max(F.struct("observed_at", "num_bikes_available", "num_docks_available")).alias("_m")))
-    return newest.select("station_id", "_m.*").join(s, "station_id", "inner")
+    of_these = readings.join(s.select("station_id"), "station_id", "left_semi")
+    newest = newest_rows(of_these, ["station_id"], "observed_at", ["num_bikes_available", "num_docks_available"])
+    return newest.join(s, "station_id", "inner")
 
 
 def _stock_filter(df: DataFrame, need: str) -> DataFrame:

@@ -15,16 +15,21 @@ from ..sources import fixtures as FX
 KEEP = P.MSG_COLS + ["batch_id", "fetched_at", "micro_batch"]
 
 
-def availability_decoded(spark: SparkSession, d: str) -> DataFrame:
-    return P.decode(P.with_arrival_hour(FX.availability_messages(spark, d)), SC.AVAILABILITY_RESULT)
+def availability_decoded(spark: SparkSession, d: str, *fields: str) -> DataFrame:
+    """The topic decoded with the record fields named (all where none is)."""
+    return P.decode(P.with_arrival_hour(FX.availability_messages(spark, d)), SC.record(SC.AVAILABILITY_FIELDS, *fields))
 
 
-def availability_decoded_once(spark: SparkSession, d: str) -> DataFrame:
-    """The decoded topic written once as a table in the shared checkpoint
-    folder, for queries whose branches each need it with different columns
-    (so Spark cannot reuse a shuffle between them)."""
+def availability_summary(spark: SparkSession, d: str) -> DataFrame:
+    """One row per message of the availability topic, written once in the shared checkpoint folder for the
+    branches that read it."""
     from ..session import materialize
-    return materialize(availability_decoded(spark, d), "decoded")
+    msgs = P.with_arrival_hour(FX.availability_messages(spark, d))
+    return materialize(P.summarise(msgs, SC.RULE_RESULT, R.record_reading_valid, R.record_observed_at), "summary")
+
+
+def stations_summary(spark: SparkSession, d: str) -> DataFrame:
+    return P.summarise(P.with_arrival_hour(FX.station_envelopes(spark, d)), SC.STATION_RESULT, R.record_station_valid)
 
 
 def availability_parsed(spark: SparkSession, d: str, decoded: DataFrame | None = None) -> DataFrame:
@@ -44,16 +49,14 @@ def stations_parsed(spark: SparkSession, d: str) -> DataFrame:
               .withColumn("is_valid", F.col("reject_reason").isNull()))
 
 
-def all_alerts(spark: SparkSession, d: str, dec: DataFrame | None = None) -> DataFrame:
-    """Every alert kind over the derived feeds (alerts_v)."""
-    dec = dec if dec is not None else availability_decoded_once(spark, d)
-    av = availability_parsed(spark, d, dec)
-    st = stations_parsed(spark, d)
+def all_alerts(spark: SparkSession, d: str, av: DataFrame | None = None) -> DataFrame:
+    """Every alert kind over the derived feeds (alerts_v), from the message summaries."""
+    av = av if av is not None else availability_summary(spark, d)
     return AL.union_alerts(
-        AL.reject_rate_alerts(AL.reject_ratio(st), "Stations", S.SOURCE_STATIONS),
+        AL.reject_rate_alerts(AL.reject_ratio(stations_summary(spark, d)), "Stations", S.SOURCE_STATIONS),
         AL.reject_rate_alerts(AL.reject_ratio(av), "Disponibilite", S.SOURCE_AVAILABILITY),
         AL.freshness_alerts(AL.freshness(av), S.SOURCE_AVAILABILITY),
-        AL.empty_fetch_alerts(dec),
+        AL.empty_fetch_alerts(av),
         AL.feed_gap_alerts(AL.feed_gaps(FX.fetches_v(spark, d))),
-        AL.malformed_alerts(dec),
+        AL.malformed_alerts(av),
     )

@@ -52,7 +52,7 @@ av_env AS (
   SELECT slot, page, slot + INTERVAL 1 HOUR AS fetched_at,
     'b-' || strftime(slot, '%Y%m%d%H') || '-' || cast(page AS varchar) AS batch_id,
     count(*) AS n_results, cast(page % 4 AS integer) AS "partition",
-    (epoch_us(slot) // 3600000000) * 1000 + page AS "offset"
+    (epoch_us(slot) // 3600000000) * 4294967296 + page AS "offset"
   FROM av_page GROUP BY slot, page),
 av_parsed AS (
   SELECT p.*, e.fetched_at, e.batch_id, e."partition", e."offset", e.fetched_at AS micro_batch,
@@ -76,23 +76,23 @@ st_parsed AS (
     cast(r.day + INTERVAL 1 DAY AS timestamp) AS micro_batch,
     's-' || strftime(r.day, '%Y%m%d') || '-' || cast(r.skey % cast(ceil(c.n / 100.0) AS bigint) AS varchar) AS batch_id,
     cast((r.skey % cast(ceil(c.n / 100.0) AS bigint)) % 2 AS integer) AS "partition",
-    date_diff('day', DATE '1970-01-01', r.day) * 1000 + r.skey % cast(ceil(c.n / 100.0) AS bigint) AS "offset",
+    date_diff('day', DATE '1970-01-01', r.day) * 4294967296 + r.skey % cast(ceil(c.n / 100.0) AS bigint) AS "offset",
     (r.station_id IS NOT NULL AND r.capacity IS NOT NULL AND r.capacity >= 0
      AND r.latitude IS NOT NULL AND r.latitude BETWEEN 48.0 AND 49.5
      AND r.longitude IS NOT NULL AND r.longitude BETWEEN 1.5 AND 3.0) AS is_valid
   FROM st_rec r JOIN st_cnt c USING (day)),
 av_ratio AS (
   SELECT micro_batch, count(*) AS n_total, count(*) FILTER (WHERE is_valid) AS n_valid,
-    arg_max(batch_id, "partition" * 1000000000000 + "offset") AS batch_id, max(fetched_at) AS as_of,
+    arg_max(batch_id, "partition" * 10000000000000000 + "offset") AS batch_id, max(fetched_at) AS as_of,
     (count(*) FILTER (WHERE NOT is_valid))::double / count(*) AS reject_ratio
   FROM av_parsed GROUP BY micro_batch),
 st_ratio AS (
   SELECT micro_batch, count(*) AS n_total, count(*) FILTER (WHERE is_valid) AS n_valid,
-    arg_max(batch_id, "partition" * 1000000000000 + "offset") AS batch_id, max(fetched_at) AS as_of,
+    arg_max(batch_id, "partition" * 10000000000000000 + "offset") AS batch_id, max(fetched_at) AS as_of,
     (count(*) FILTER (WHERE NOT is_valid))::double / count(*) AS reject_ratio
   FROM st_parsed GROUP BY micro_batch),
 av_fresh AS (
-  SELECT micro_batch, arg_max(batch_id, "partition" * 1000000000000 + "offset") AS batch_id,
+  SELECT micro_batch, arg_max(batch_id, "partition" * 10000000000000000 + "offset") AS batch_id,
     max(observed_at) AS max_observed_at, max(fetched_at) AS as_of,
     (epoch_us(max(fetched_at)) - epoch_us(max(observed_at))) / 60000000.0 AS freshness_min
   FROM av_parsed WHERE is_valid GROUP BY micro_batch),
@@ -333,10 +333,18 @@ SELECT CASE WHEN is_corrupt THEN 'availability.raw' ELSE 'disponibilite' END, st
   'availability.raw', 4, event_id, is_corrupt, 0 FROM bad_msg""",
     "bronze_replay": f"SELECT {FACT} FROM av_parsed WHERE is_valid",
     "station_upsert": """
-SELECT station_id, arg_max(name, fetched_at) AS name, arg_max(latitude, fetched_at) AS latitude,
-  arg_max(longitude, fetched_at) AS longitude, arg_max(capacity, fetched_at) AS capacity,
-  NULL::varchar AS commune, true AS is_installed, max(fetched_at) AS updated_at
-FROM st_parsed WHERE is_valid GROUP BY station_id""",
+WITH new AS (
+  SELECT station_id, arg_max(name, fetched_at) AS name, arg_max(latitude, fetched_at) AS latitude,
+    arg_max(longitude, fetched_at) AS longitude, arg_max(capacity, fetched_at) AS capacity, max(fetched_at) AS updated_at
+  FROM st_parsed WHERE is_valid GROUP BY station_id),
+stored AS (
+  SELECT station_id, name, latitude, longitude, coalesce(capacity, 1) AS capacity, commune, skey % 5 <> 0 AS is_installed
+  FROM stations_b WHERE skey % 4 <> 0)
+SELECT n.station_id, n.name, n.latitude, n.longitude, n.capacity, s.commune, coalesce(s.is_installed, true) AS is_installed, n.updated_at
+FROM new n LEFT JOIN stored s USING (station_id)
+UNION ALL
+SELECT station_id, name, latitude, longitude, capacity, commune, is_installed, TIMESTAMP '2000-01-01 00:00:00'
+FROM stored WHERE station_id NOT IN (SELECT station_id FROM new)""",
     "reading_dedup": f"SELECT {FACT} FROM av_parsed WHERE is_valid",
     "station_stub": f"""
 SELECT station_id, name, latitude, longitude, capacity, 'snapshot' AS origin FROM known_v

@@ -198,14 +198,14 @@ def constraint_violations(spark, d):
 # ---- envelope round trip --------------------------------------------------
 @query("parse_props")
 def parse_props(spark, d):
-    dec = J.availability_decoded(spark, d)
+    dec = J.availability_decoded(spark, d, "stationcode")
     return dec.select("topic", "partition", "offset", "source", "batch_id", "fetched_at",
                       "total_count", "n_results", "is_corrupt")
 
 
 @query("explode_results")
 def explode_results(spark, d):
-    rec = P.explode_records(J.availability_decoded(spark, d), keep=["batch_id"])
+    rec = P.explode_records(J.availability_decoded(spark, d, "stationcode"), keep=["batch_id"])
     return rec.select("batch_id", F.col("pos").cast("int").alias("pos"), F.col("r.stationcode").alias("station_id"))
 
 
@@ -228,7 +228,7 @@ def reading_fact_rows(spark, d):
 
 @query("timestamp_parse")
 def timestamp_parse(spark, d):
-    rec = P.explode_records(J.availability_decoded(spark, d), keep=["batch_id"])
+    rec = P.explode_records(J.availability_decoded(spark, d, "stationcode", "duedate"), keep=["batch_id"])
     return rec.select(F.col("r.stationcode").alias("station_id"), F.col("r.duedate").alias("duedate"),
                       T.to_ntz(T.parse_instant(F.col("r.duedate"))).alias("observed_at"))
 
@@ -237,7 +237,7 @@ def timestamp_parse(spark, d):
 def envelope_build(spark, d):
     """Build the availability envelopes, then decode what was built."""
     env = FX.availability_envelopes(spark, d)
-    dec = P.decode(env, SC.AVAILABILITY_RESULT)
+    dec = P.decode(env, SC.CODE_RESULT)
     return dec.select("source", "batch_id", "fetched_at", "total_count", "n_results")
 
 
@@ -265,31 +265,29 @@ def bronze_replay(spark, d):
 @query("station_upsert")
 def station_upsert(spark, d):
     st = J.stations_parsed(spark, d).filter("is_valid")
-    return M.station_upsert(None, st, P.order_key(), F.col("fetched_at"))
+    return M.station_upsert(FX.stored_stations_v(spark, d), st, P.order_key(), F.col("fetched_at"))
 
 
-def dup_readings(spark, d) -> DataFrame:
+def dup_readings(av: DataFrame) -> DataFrame:
     """Valid fact rows of the feed plus a second, later delivery of every
     tenth reading with one more bike (a replayed page)."""
-    av = J.availability_parsed(spark, d).filter("is_valid")
-    base = av.select(*P.FACT_COLS, "fetched_at", "partition", "offset", "pos")
+    order = ["fetched_at", "partition", "offset", "pos"]
+    base = av.select(*P.FACT_COLS, *order)
     again = (av.filter(F.col("num_bikes_available") % 10 == 0)
-             .select("station_id", (F.col("num_bikes_available") + 1).alias("num_bikes_available"),
-                     *[c for c in P.FACT_COLS if c not in ("station_id", "num_bikes_available", "batch_id")],
-                     F.concat(F.lit("dup-"), F.col("batch_id")).alias("batch_id"),
-                     (F.col("fetched_at") + F.expr("INTERVAL 1 DAY")).alias("fetched_at"),
-                     "partition", "offset", "pos"))
+             .withColumn("num_bikes_available", F.col("num_bikes_available") + 1)
+             .withColumn("batch_id", F.concat(F.lit("dup-"), F.col("batch_id")))
+             .withColumn("fetched_at", F.col("fetched_at") + F.expr("INTERVAL 1 DAY")).select(*P.FACT_COLS, *order))
     return base.unionByName(again)
 
 
 @query("reading_dedup")
 def reading_dedup(spark, d):
     """First-wins insert of the duplicated feed into a table that
-    already holds the morning readings."""
-    batch = dup_readings(spark, d)
-    target = J.availability_parsed(spark, d).filter("is_valid").filter(F.hour("observed_at") < 12) \
-        .select(*P.FACT_COLS)
-    inserted = M.reading_insert(target, batch, P.order_key(), P.FACT_COLS)
+    already holds the morning readings. The feed is parsed once."""
+    av = J.availability_parsed(spark, d).filter("is_valid").select(*P.FACT_COLS, "fetched_at", "partition", "offset", "pos")
+    av = SESSION.materialize(av, "facts")
+    target = av.filter(F.hour("observed_at") < 12).select(*P.FACT_COLS)
+    inserted = M.reading_insert(target, dup_readings(av), P.order_key(), P.FACT_COLS)
     return target.unionByName(inserted)
 
 
@@ -314,37 +312,37 @@ def commune_backfill(spark, d):
 # ---- alerts ---------------------------------------------------------------
 @query("reject_ratio")
 def reject_ratio(spark, d):
-    r = AL.reject_ratio(J.availability_parsed(spark, d))
+    r = AL.reject_ratio(J.availability_summary(spark, d))
     return r.select("micro_batch", "batch_id", "n_total", "n_valid", "reject_ratio")
 
 
 @query("freshness")
 def freshness(spark, d):
-    f = AL.freshness(J.availability_parsed(spark, d))
+    f = AL.freshness(J.availability_summary(spark, d))
     return f.select("micro_batch", "batch_id", "max_observed_at", "as_of", "freshness_min")
 
 
 @query("alert_reject_rate")
 def alert_reject_rate(spark, d):
     return AL.union_alerts(
-        AL.reject_rate_alerts(AL.reject_ratio(J.stations_parsed(spark, d)), "Stations", S.SOURCE_STATIONS),
-        AL.reject_rate_alerts(AL.reject_ratio(J.availability_parsed(spark, d)), "Disponibilite",
+        AL.reject_rate_alerts(AL.reject_ratio(J.stations_summary(spark, d)), "Stations", S.SOURCE_STATIONS),
+        AL.reject_rate_alerts(AL.reject_ratio(J.availability_summary(spark, d)), "Disponibilite",
                               S.SOURCE_AVAILABILITY))
 
 
 @query("alert_freshness")
 def alert_freshness(spark, d):
-    return AL.freshness_alerts(AL.freshness(J.availability_parsed(spark, d)), S.SOURCE_AVAILABILITY)
+    return AL.freshness_alerts(AL.freshness(J.availability_summary(spark, d)), S.SOURCE_AVAILABILITY)
 
 
 @query("empty_fetches")
 def empty_fetches(spark, d):
-    return AL.empty_fetch_alerts(J.availability_decoded(spark, d))
+    return AL.empty_fetch_alerts(J.availability_decoded(spark, d, "stationcode"))
 
 
 @query("malformed_messages")
 def malformed_messages(spark, d):
-    return AL.malformed_alerts(J.availability_decoded(spark, d))
+    return AL.malformed_alerts(J.availability_decoded(spark, d, "stationcode"))
 
 
 @query("alert_feed_gap")
@@ -370,17 +368,16 @@ def latest_alerts(spark, d):
 @query("pipeline_kpis")
 def pipeline_kpis(spark, d):
     """Q7: share rejected, alert count, feed latency and feed availability."""
-    dec = J.availability_decoded_once(spark, d)
-    av = J.availability_parsed(spark, d, dec)
-    msg = dec.agg(F.count(F.lit(1)).alias("n_messages"), F.count_if("is_corrupt").alias("n_malformed"))
-    rec = av.agg(
-        F.count(F.lit(1)).alias("n_records"),
-        F.count_if(~F.col("is_valid")).alias("n_rejected"),
-        F.round(F.avg(F.when(F.col("is_valid"), T.minutes_between(F.col("fetched_at"), F.col("observed_at")))), 6)
+    av = J.availability_summary(spark, d)
+    msg = av.agg(F.count(F.lit(1)).alias("n_messages"), F.count_if("is_corrupt").alias("n_malformed"))
+    rec = av.filter("n_total > 0").agg(
+        F.sum("n_total").alias("n_records"),
+        (F.sum("n_total") - F.sum("n_valid")).alias("n_rejected"),
+        F.round(F.sum("age_us") / F.nullif(F.sum(F.when(F.col("age_us").isNotNull(), F.col("n_valid"))), F.lit(0)) / F.lit(60_000_000.0), 6)
          .alias("avg_feed_latency_min"),
         F.count_distinct("micro_batch").alias("n_batches"),
         F.min("micro_batch").alias("_b0"), F.max("micro_batch").alias("_b1"))
-    n_alerts = J.all_alerts(spark, d, dec).select(F.count(F.lit(1))).scalar()
+    n_alerts = J.all_alerts(spark, d, av).select(F.count(F.lit(1))).scalar()
     # one scalar subquery returning a struct: the record aggregate runs once
     out = msg.withColumn("_r", rec.select(F.struct(*rec.columns)).scalar()).select(
         "n_messages", "n_malformed", "_r.*")

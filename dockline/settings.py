@@ -28,6 +28,7 @@ MAX_LEN_STATION_ID = 64
 MAX_LEN_NAME = 255
 MAX_LEN_COMMUNE = 128
 MAX_LEN_BATCH_ID = 64
+MAX_LEN_ALERT_TYPE = 64
 INT4_MAX = 2147483647
 # demand-model hyper-parameters of the reference notebook
 SPLIT_TRAIN_PERCENT = 80
@@ -43,3 +44,6 @@ FEED_GAP_MINUTES = 10
 # Topic / source names used by the pipeline.
 SOURCE_STATIONS = "stations"
 SOURCE_AVAILABILITY = "disponibilite"
+
+# Offsets of the derived topics: slot number in the high bits, page in the low ones.
+PAGES_PER_SLOT = 1 << 32

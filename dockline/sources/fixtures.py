@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from .. import settings as S
 from ..functions import timefn as T
+from ..operators.publish import envelope_json, pages
 from .tables import table
 
 AVAILABILITY_TOPIC = "availability.raw"
@@ -72,6 +73,13 @@ def known_stations_v(spark: SparkSession, d: str) -> DataFrame:
     return stations_base(spark, d).filter(F.col("skey") % 4 != 0).drop("skey")
 
 
+def stored_stations_v(spark: SparkSession, d: str) -> DataFrame:
+    """``known_stations_v`` as a stored table: last written long ago, every fifth station out of service."""
+    s = stations_base(spark, d).filter(F.col("skey") % 4 != 0)
+    return s.select("station_id", "name", "latitude", "longitude", F.coalesce("capacity", F.lit(1)).alias("capacity"), "commune",
+                    (F.col("skey") % 5 != 0).alias("is_installed"), F.lit("2000-01-01 00:00:00").cast("timestamp_ntz").alias("updated_at"))
+
+
 def positions_v(spark: SparkSession, d: str) -> DataFrame:
     k = F.col("s_suppkey")
     return table(spark, d, "supplier", "s_suppkey").select(
@@ -145,15 +153,6 @@ def _kafka_shape(df: DataFrame, topic: str, value: Column, partition: Column, of
     )
 
 
-def _envelope_json(source: str, fetched_at: Column, batch_id: Column, results: Column) -> Column:
-    return F.to_json(F.struct(
-        F.lit(source).alias("source"),
-        T.iso_utc(fetched_at).alias("fetched_at"),
-        batch_id.alias("batch_id"),
-        F.struct(F.size(results).cast("bigint").alias("total_count"), results.alias("results")).alias("payload"),
-    ))
-
-
 def availability_envelopes(spark: SparkSession, d: str) -> DataFrame:
     """Hourly fetches of the availability feed, paged by PAGE_SIZE: one
     envelope per (hour, page), fetched at the end of the hour. Columns: the
@@ -163,19 +162,16 @@ def availability_envelopes(spark: SparkSession, d: str) -> DataFrame:
               .groupBy(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("slot"))
               .agg(F.count(F.lit(1)).alias("_n")))
     rec = _paged(availability_records(spark, d), "slot", "event_id", counts)
-    env = (rec.groupBy("slot", "page")
-              .agg(F.array_sort(F.collect_list(F.struct("observed_at", "station_id", "event_id", "record")))
-                   .alias("_items")))
-    results = F.transform(F.col("_items"), lambda x: x["record"])
+    env = pages(rec, ["slot", "page"], ["observed_at", "station_id", "event_id"])
     fetched = (F.col("slot") + F.expr("INTERVAL 1 HOUR")).cast("timestamp_ntz")
     batch_id = F.concat(F.lit("b-"), F.date_format("slot", "yyyyMMddHH"), F.lit("-"), F.col("page").cast("string"))
     env = env.select("slot", "page", fetched.alias("fetched_at"), batch_id.alias("batch_id"),
-                     results.alias("results"))
+                     "results")
     hour_index = F.floor(F.unix_micros(F.col("slot").cast("timestamp")) / F.lit(3_600_000_000))
     out = _kafka_shape(
         env, AVAILABILITY_TOPIC,
-        _envelope_json(S.SOURCE_AVAILABILITY, F.col("fetched_at"), F.col("batch_id"), F.col("results")),
-        F.pmod(F.col("page"), F.lit(4)), hour_index * 1000 + F.col("page"), F.col("fetched_at"))
+        envelope_json(S.SOURCE_AVAILABILITY, F.col("fetched_at"), F.col("batch_id"), F.col("results")),
+        F.pmod(F.col("page"), F.lit(4)), hour_index * S.PAGES_PER_SLOT + F.col("page"), F.col("fetched_at"))
     return out
 
 
@@ -184,7 +180,7 @@ def injected_bad_messages(spark: SparkSession, d: str) -> DataFrame:
     id % 97 = 0) and well-formed envelopes with no results (id % 89 = 0)."""
     ev = table(spark, d, "events", "event_id", "ts", "props")
     bad = ev.filter((F.col("event_id") % 97 == 0) | (F.col("event_id") % 89 == 0))
-    empty_value = _envelope_json(S.SOURCE_AVAILABILITY, F.col("ts"),
+    empty_value = envelope_json(S.SOURCE_AVAILABILITY, F.col("ts"),
                                  F.concat(F.lit("e-"), F.col("event_id").cast("string")),
                                  F.array().cast("array<string>"))
     value = F.when(F.col("event_id") % 97 == 0, F.substring("props", 2, 1 << 30)).otherwise(empty_value)
@@ -210,14 +206,12 @@ def station_envelopes(spark: SparkSession, d: str) -> DataFrame:
         F.struct(F.col("longitude").alias("lon"), F.col("latitude").alias("lat")).alias("coordonnees_geo"),
     )
     j = _paged(j.select("skey", "day", "station_id", rec.alias("record")), "day", "skey")
-    env = (j.groupBy("day", "page")
-             .agg(F.array_sort(F.collect_list(F.struct("skey", "record"))).alias("_items")))
-    results = F.transform(F.col("_items"), lambda x: x["record"])
+    env = pages(j, ["day", "page"], ["skey"])
     fetched = F.date_add("day", 1).cast("timestamp_ntz")
     batch_id = F.concat(F.lit("s-"), F.date_format("day", "yyyyMMdd"), F.lit("-"), F.col("page").cast("string"))
-    env = env.select("day", "page", fetched.alias("fetched_at"), batch_id.alias("batch_id"), results.alias("results"))
+    env = env.select("day", "page", fetched.alias("fetched_at"), batch_id.alias("batch_id"), "results")
     day_index = F.datediff(F.col("day"), F.lit("1970-01-01").cast("date"))
     return _kafka_shape(
         env, STATIONS_TOPIC,
-        _envelope_json(S.SOURCE_STATIONS, F.col("fetched_at"), F.col("batch_id"), F.col("results")),
-        F.pmod(F.col("page"), F.lit(2)), day_index * 1000 + F.col("page"), F.col("fetched_at"))
+        envelope_json(S.SOURCE_STATIONS, F.col("fetched_at"), F.col("batch_id"), F.col("results")),
+        F.pmod(F.col("page"), F.lit(2)), day_index * S.PAGES_PER_SLOT + F.col("page"), F.col("fetched_at"))
