@@ -8,11 +8,13 @@ partitioning (``randomSplit`` does).
 """
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
-from pyspark.ml.evaluation import RegressionEvaluator
+import json
+
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import settings as S
@@ -22,6 +24,7 @@ from .recommend import ml_frame
 FEATURES_NUM = ["hour", "weekday", "capacity"]
 FEATURES_CAT = ["commune", "station_id"]
 TARGET = "num_bikes_available"
+TREE_MODELS = ("random_forest", "gradient_boosting")
 
 
 def training_set(readings: DataFrame, stations: DataFrame) -> DataFrame:
@@ -69,26 +72,27 @@ def candidates(rf_trees: int = S.RF_TREES, rf_depth: int = S.RF_DEPTH, gbt_round
 def fit_and_compare(readings: DataFrame, stations: DataFrame, **params):
     """M3-M8: fit every candidate on the train split, score the test split.
     Returns (comparison DataFrame sorted by R2 desc, fitted models, test set)."""
-    spark = readings.sparkSession
     data = split_bucket(training_set(readings, stations)).withColumn(TARGET, F.col(TARGET).cast("double"))
     train = data.filter(F.col("split") == "train").checkpoint(eager=True)
     test = data.filter(F.col("split") == "test").checkpoint(eager=True)
-    rows, fitted = [], {}
-    for name, reg in candidates(**params).items():
-        model = _features_pipeline(reg).fit(train)
-        pred = model.transform(test)
-        ev = RegressionEvaluator(labelCol=TARGET, predictionCol="prediction")
-        mae = ev.setMetricName("mae").evaluate(pred)
-        rmse = ev.setMetricName("rmse").evaluate(pred)
-        r2 = ev.setMetricName("r2").evaluate(pred)
-        rows.append((name, round(mae, 2), round(rmse, 2), round(r2, 3)))
-        fitted[name] = model
-    comp = spark.createDataFrame(rows, "model string, mae double, rmse double, r2 double").orderBy(F.desc("r2"), "model")
-    return comp, fitted, test
+    fitted = {name: _features_pipeline(reg).fit(train) for name, reg in candidates(**params).items()}
+    return compare(fitted, test), fitted, test
+
+
+def compare(fitted: dict, test: DataFrame) -> DataFrame:
+    """M7: MAE, RMSE and R2 of every model, each scored once, best R2 first."""
+    scored = None
+    for name, model in fitted.items():
+        p = model.transform(test).select(F.lit(name).alias("model"), F.col(TARGET).alias("y"), (F.col("prediction") - F.col(TARGET)).alias("e"))
+        scored = p if scored is None else scored.unionByName(p)
+    m = scored.groupBy("model").agg(F.avg(F.abs("e")).alias("mae"), F.avg(F.col("e") * F.col("e")).alias("mse"), F.var_pop("y").alias("var"))
+    return m.select("model", F.round("mae", 2).alias("mae"), F.round(F.sqrt("mse"), 2).alias("rmse"),
+                    F.round(1 - F.col("mse") / F.nullif(F.col("var"), F.lit(0.0)), 3).alias("r2")).orderBy(F.desc("r2"), "model")
 
 
-def best_model_name(comp: DataFrame) -> str:
-    return comp.orderBy(F.desc("r2"), "model").first()["model"]
+def best_model_name(comp: DataFrame, trees_only: bool = False) -> str:
+    names = comp.filter(F.col("model").isin(*TREE_MODELS)) if trees_only else comp
+    return names.orderBy(F.desc("r2"), "model").first()["model"]
 
 
 def prediction_vs_actual(model, test: DataFrame) -> DataFrame:
@@ -97,28 +101,32 @@ def prediction_vs_actual(model, test: DataFrame) -> DataFrame:
                                         F.col("prediction").alias("predicted"))
 
 
-def feature_importance(model, top: int = S.TOP_FEATURES) -> DataFrame:
-    """Top features of a tree model by importance, names from the
-    assembler's attribute metadata; a linear model yields one notice row."""
-    from pyspark.sql import SparkSession
-    reg = model.stages[-1]
-    spark = SparkSession.getActiveSession()
-    schema = "rank int, feature string, importance double"
-    if not hasattr(reg, "featureImportances"):
-        return spark.createDataFrame([(1, "no importances for a linear model", None)], schema)
-    imp = reg.featureImportances.toArray().tolist()
-    names = _feature_names(model, len(imp))
-    ranked = sorted(zip(names, imp), key=lambda t: (-t[1], t[0]))[:top]
-    return spark.createDataFrame([(i + 1, n, float(v)) for i, (n, v) in enumerate(ranked)], schema)
-
-
-def _feature_names(model, n: int) -> list[str]:
-    """Slot names of the assembled vector: numeric inputs, then one name per
-    kept category of each one-hot block."""
-    names: list[str] = list(FEATURES_NUM)
-    indexer = model.stages[0]
-    for col, labels in zip(FEATURES_CAT, indexer.labelsArray):
-        names += [f"{col}={lab}" for lab in labels]  # dropLast removes only the 'unknown' slot
-    names = names[:n]
-    names += [f"f{i}" for i in range(len(names), n)]
-    return names
+def feature_importance(model, test: DataFrame, top: int = S.TOP_FEATURES) -> DataFrame:
+    """The ``top`` features of a tree model by importance. The vector is spread into rows and joined
+    with the slots' names, which the assembled column carries as attributes in its metadata."""
+    spark = test.sparkSession
+    vector = model.stages[-1].featureImportances
+    slots = (spark.createDataFrame([(vector,)], ["v"])
+             .select(F.posexplode(vector_to_array("v")).alias("idx", "importance")))
+    attrs = model.transform(test.limit(0)).schema["features"].metadata["ml_attr"]["attrs"]
+    kinds = "map<string,array<struct<idx:int,name:string>>>"
+    names = (spark.createDataFrame([(json.dumps(attrs),)], "attrs string")
+             .select(F.explode(F.flatten(F.map_values(F.from_json("attrs", kinds)))).alias("a")).select("a.idx", "a.name"))
+    named = slots.join(names, "idx", "left").select(F.coalesce("name", F.concat(F.lit("f"), "idx")).alias("feature"), "importance")
+    best = named.orderBy(F.desc("importance"), "feature").limit(top)
+    w = Window.orderBy(F.desc("importance"), "feature")                  # over ``top`` rows
+    return best.select(F.row_number().over(w).alias("rank"), "feature", "importance")
+
+
+# ---- fitted models as files ------------------------------------------------
+def save(path: str, comp: DataFrame, fitted: dict, test: DataFrame) -> None:
+    for name, model in fitted.items():
+        model.write().overwrite().save(f"{path}/models/{name}")
+    comp.write.mode("overwrite").parquet(f"{path}/comparison")
+    test.write.mode("overwrite").parquet(f"{path}/test")
+
+
+def load(spark, path: str):
+    """(comparison, function name -> model, test set) of a saved fit."""
+    return (spark.read.parquet(f"{path}/comparison").orderBy(F.desc("r2"), "model"),
+            lambda name: PipelineModel.load(f"{path}/models/{name}"), spark.read.parquet(f"{path}/test"))

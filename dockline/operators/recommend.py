@@ -3,21 +3,21 @@
 Single position: a top-k over the latest reading per station
 (``TakeOrderedAndProject``; each task keeps its k best).
 
-Many positions (J7): an exact k-nearest-neighbour join without a cross join.
-Stations are put in square grid cells; each position is equi-joined with the
-cells of a block of rings around its own cell. A position is settled when it
-has k candidates and its k-th distance is within the distance that the block
-guarantees (anything outside the block is farther), or when the block
-already covers every station cell. Unsettled positions go to the next round
-with a doubled ring. Each round is a Spark job; the per-position top-k is a
-``row_number`` window with ``rn <= k``, which Spark plans with a partial
-group limit before the shuffle.
+Many positions (J7): an exact k-nearest-neighbour join without a cross join, by branch and bound over a
+tree of cells. Positions on the globe are points of the unit sphere in space, where neither the 180th meridian
+nor the poles are special and the chord grows with the distance. Space is cut into cubes, each level
+eight times finer along an edge than the one above; only occupied cells exist, each with the number and the
+bounding box of its stations. Every position starts with the last cell that holds
+all stations. Round by round its cells are replaced by their children (an equi-join on the cell), and
+cells go whose nearest point is farther than a distance within which other cells are known to hold k
+stations. Cells of few stations are not split further; in the end their stations are ranked by the exact
+distance. A dense cell is thus entered only by positions for which some of its parts may matter, and
+a position far from all stations keeps few cells. Stations at one and the same point that can't be among
+the first k there are left out beforehand. Each round is cut with a reliable checkpoint.
 """
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import settings as S
@@ -69,78 +69,72 @@ def station_distances(stations: DataFrame, lat: float, lon: float) -> DataFrame:
 
 
 # ---- J7: many positions ---------------------------------------------------
-def _cell_size(stations: DataFrame, top_n: int) -> tuple[float, dict]:
-    """Cell edge (degrees) so that an average cell holds about ``top_n``
-    stations, from one aggregate row."""
-    b = stations.agg(F.min("latitude").alias("la0"), F.max("latitude").alias("la1"),
-                     F.min("longitude").alias("lo0"), F.max("longitude").alias("lo1"),
-                     F.count(F.lit(1)).alias("n")).first()
-    if not b or not b["n"]:
-        return 0.01, {}
-    area = max((b["la1"] - b["la0"]) * (b["lo1"] - b["lo0"]), 1e-6)
-    g = math.sqrt(area * max(top_n, 1) / b["n"])
-    g = min(max(g, 1e-4), 1.0)
-    return g, b.asDict()
+STEP = 3                       # binary levels per level of the tree
+DEEPEST = 21                   # cells of about 6 m; three coordinates fit one bigint
+LEAF = 8                       # stations in a cell that is not split further
+_SLACK = 1e-12                 # chord units (micrometres), against rounding
+
+
+def _on_sphere(df: DataFrame, lat: str, lon: str, prefix: str) -> DataFrame:
+    la, lo = F.radians(lat), F.radians(lon)
+    return df.withColumns({prefix + "x": F.cos(la) * F.cos(lo), prefix + "y": F.cos(la) * F.sin(lo), prefix + "z": F.sin(la)})
+
+
+def _cell(level: int) -> Column:
+    """Key of the cell of (x, y, z) at ``level``."""
+    n = 1 << level
+    at = [F.least(F.floor((F.col(c) + 1) * F.lit(n / 2)).cast("bigint"), F.lit(n - 1)) for c in ("x", "y", "z")]
+    return (at[0] * n + at[1]) * n + at[2]
+
+
+def _reach(side: str) -> Column:
+    """Chord from (px, py, pz) to the nearest or farthest point of a cell's bounding box."""
+    total = None
+    for c in ("x", "y", "z"):
+        lo, hi, p = F.col(f"{c}0"), F.col(f"{c}1"), F.col("p" + c)
+        gap = F.greatest(lo - p, p - hi, F.lit(0.0)) if side == "near" else F.greatest(F.abs(p - lo), F.abs(hi - p))
+        total = gap * gap if total is None else total + gap * gap
+    return F.sqrt(total)
 
 
 def recommend_many(positions: DataFrame, latest: DataFrame, need: str = "velo",
                    top_n: int = S.RECOMMEND_TOP_N) -> DataFrame:
-    """Exact ``top_n`` nearest stations with stock for every position.
+    """Exact ``top_n`` nearest stations with stock for every position that has coordinates.
     Output: position_id, rank, station_id, name, distance_km."""
-    spark = positions.sparkSession
-    st = _stock_filter(latest, need).select("station_id", "name", "latitude", "longitude")
-    g, _ = _cell_size(st, top_n)
-    st = (st.withColumn("cy", F.floor(F.col("latitude") / g).cast("bigint"))
-            .withColumn("cx", F.floor(F.col("longitude") / g).cast("bigint")))
-    cb = st.agg(F.min("cy").alias("y0"), F.max("cy").alias("y1"),
-                F.min("cx").alias("x0"), F.max("cx").alias("x1")).first()
-    empty_schema = "position_id bigint, rank int, station_id string, name string, distance_km double"
-    if cb is None or cb["y0"] is None:
-        return spark.createDataFrame([], empty_schema)
-    y0, y1, x0, x1 = cb["y0"], cb["y1"], cb["x0"], cb["x1"]
-    g_rad = math.radians(g)
-
-    pos = (positions.select("position_id", "latitude", "longitude")
-           .withColumn("pcy", F.floor(F.col("latitude") / g).cast("bigint"))
-           .withColumn("pcx", F.floor(F.col("longitude") / g).cast("bigint")))
-    done = None
-    ring = 1
-    pending = pos
-    while True:      # ends: the ring doubles until it covers all stations
-        lo_y = F.greatest(F.col("pcy") - ring, F.lit(y0))
-        hi_y = F.least(F.col("pcy") + ring, F.lit(y1))
-        lo_x = F.greatest(F.col("pcx") - ring, F.lit(x0))
-        hi_x = F.least(F.col("pcx") + ring, F.lit(x1))
-        covers_all = ((F.col("pcy") - ring <= y0) & (F.col("pcy") + ring >= y1)
-                      & (F.col("pcx") - ring <= x0) & (F.col("pcx") + ring >= x1))
-        # Anything outside the block is farther than this (km): latitude
-        # difference > ring cells, or beyond the meridian ring cells away.
-        guard = F.lit(S.EARTH_RADIUS_KM) * F.least(
-            F.lit(ring * g_rad),
-            F.asin(F.least(F.lit(1.0), F.cos(F.radians("latitude")) * F.lit(math.sin(min(ring * g_rad, math.pi / 2))))))
-        probe = (pending
-                 .withColumn("covers_all", covers_all).withColumn("guard_km", guard)
-                 .withColumn("cy", F.explode(F.when(lo_y <= hi_y, F.sequence(lo_y, hi_y)).otherwise(F.array())))
-                 .withColumn("cx", F.explode(F.when(lo_x <= hi_x, F.sequence(lo_x, hi_x)).otherwise(F.array()))))
-        cand = probe.join(st.withColumnRenamed("latitude", "s_lat").withColumnRenamed("longitude", "s_lon"),
-                          ["cy", "cx"], "inner")
-        cand = cand.withColumn("_d", haversine_km("latitude", "longitude", "s_lat", "s_lon"))
-        w = Window.partitionBy("position_id").orderBy("_d", "name", "station_id")
-        top = (cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= top_n)
-                   .select("position_id", F.col("rank").cast("int").alias("rank"), "station_id", "name", "_d")
-                   .checkpoint(eager=True))
-        status = top.groupBy("position_id").agg(F.count(F.lit(1)).alias("_k"), F.max("_d").alias("_kd"))
-        flags = (pending.select("position_id", covers_all.alias("covers_all"), guard.alias("guard_km"))
-                 .join(status, "position_id", "left")
-                 .withColumn("settled", F.col("covers_all") | ((F.coalesce(F.col("_k"), F.lit(0)) >= top_n)
-                                                              & (F.col("_kd") <= F.col("guard_km"))))
-                 .select("position_id", "settled").checkpoint(eager=True))
-        settled_rows = (top.join(flags.filter("settled").select("position_id"), "position_id", "left_semi")
-                        .select("position_id", "rank", "station_id", "name",
-                                F.round("_d", DIST_DIGITS).alias("distance_km")))
-        done = settled_rows if done is None else done.unionByName(settled_rows)
-        pending = pending.join(flags.filter(~F.col("settled")).select("position_id"), "position_id", "left_semi")
-        if pending.isEmpty():
+    st = _stock_filter(latest, need).filter("latitude IS NOT NULL AND longitude IS NOT NULL")
+    here = Window.partitionBy("latitude", "longitude").orderBy("name", "station_id")
+    st = st.withColumn("_r", F.row_number().over(here)).filter(F.col("_r") <= top_n)
+    st = _on_sphere(st.select("station_id", "name", F.col("latitude").alias("s_lat"), F.col("longitude").alias("s_lon")), "s_lat", "s_lon", "")
+    levels = range(0, DEEPEST + 1, STEP)
+    st = st.withColumn("_c", F.explode(F.array(*[F.struct(F.lit(lv).alias("level"), _cell(lv).alias("cell"),
+                                                        (_cell(lv - STEP) if lv else F.lit(0).cast("bigint")).alias("up")) for lv in levels])))
+    st = st.select("*", "_c.*").drop("_c").checkpoint(eager=True)
+    box = [f(c).alias(c + i) for c in ("x", "y", "z") for f, i in ((F.min, "0"), (F.max, "1"))]
+    cells = (st.groupBy("level", "up", "cell").agg(F.count(F.lit(1)).alias("n"), *box)
+             .withColumn("leaf", (F.col("n") <= LEAF) | (F.col("level") == DEEPEST)).checkpoint(eager=True))
+    sizes = {r.level: r.n for r in cells.groupBy("level").agg(F.count(F.lit(1)).alias("n")).collect()}      # one row per level
+    first = max((lv for lv in levels if sizes.get(lv) == 1), default=0)
+
+    where = ["cell", "level", "n", "leaf", "x0", "x1", "y0", "y1", "z0", "z1"]
+    pos = _on_sphere(positions.select("position_id", "latitude", "longitude").filter("latitude IS NOT NULL AND longitude IS NOT NULL"),
+                     "latitude", "longitude", "p").withColumn("_p", F.monotonically_increasing_id()).checkpoint(eager=True)
+    me = ["_p", "px", "py", "pz"]
+    root = cells.filter(F.col("level") == first).select(*where)
+    open_ = pos.select(*me).withColumn("level", F.lit(first)).join(root, "level").select(*me, *where)
+    by_reach = Window.partitionBy("_p").orderBy("far").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    for lv in range(first + STEP, DEEPEST + 1, STEP):
+        if open_.filter("NOT leaf").isEmpty():
             break
-        ring *= 2
-    return done
+        below = cells.filter(F.col("level") == lv).select("up", *where)
+        down = open_.filter("NOT leaf").select(*me, F.col("cell").alias("up")).join(below, "up").select(*me, *where)
+        held = open_.filter("leaf").unionByName(down).withColumns({"near": _reach("near"), "far": _reach("far")})
+        held = held.withColumn("sure", F.when(F.sum("n").over(by_reach) >= top_n, F.col("far")))
+        held = held.withColumn("bound", F.min("sure").over(Window.partitionBy("_p")))
+        open_ = (held.filter(F.col("bound").isNull() | (F.col("near") <= F.col("bound") + F.lit(_SLACK)))
+                 .select(*me, *where).checkpoint(eager=True))
+    found = (open_.select("_p", "level", "cell").join(st.select("level", "cell", "station_id", "name", "s_lat", "s_lon"), ["level", "cell"])
+             .join(pos.select("_p", "position_id", "latitude", "longitude"), "_p")
+             .withColumn("_d", haversine_km("latitude", "longitude", "s_lat", "s_lon")))
+    w = Window.partitionBy("_p").orderBy("_d", "name", "station_id")
+    return (found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= top_n)
+            .select("position_id", F.col("rank").cast("int").alias("rank"), "station_id", "name", F.round("_d", DIST_DIGITS).alias("distance_km")))

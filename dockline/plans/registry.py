@@ -3,6 +3,7 @@ operator inventory. Every query reads the driver tables (or DataFrames Spark
 derives from them) in full."""
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -420,15 +421,15 @@ def ml_split_counts(spark, d):
     return DM.split_counts(_rd(spark, d), _st(spark, d))
 
 
-_MODELS: dict = {}
-
-
 def _fitted(spark, d):
-    key = (id(spark), d)
-    if key not in _MODELS:
-        _MODELS.clear()
-        _MODELS[key] = DM.fit_and_compare(_rd(spark, d), _st(spark, d))
-    return _MODELS[key]
+    """The models fitted on ``d``, once per session; the session's settings remember where they are saved."""
+    key = "dockline.models." + hashlib.md5(d.encode()).hexdigest()
+    path = spark.conf.get(key, None)
+    if path is None:
+        path = SESSION.shared_path(spark, "models")
+        DM.save(path, *DM.fit_and_compare(_rd(spark, d), _st(spark, d)))
+        spark.conf.set(key, path)
+    return DM.load(spark, path)
 
 
 @query("model_comparison")
@@ -439,11 +440,12 @@ def model_comparison(spark, d):
 
 @query("feature_importance")
 def feature_importance(spark, d):
-    comp, fitted, _ = _fitted(spark, d)
-    return DM.feature_importance(fitted[DM.best_model_name(comp)])
+    """Of the best tree model; a linear one has no importances."""
+    comp, model, test = _fitted(spark, d)
+    return DM.feature_importance(model(DM.best_model_name(comp, trees_only=True)), test)
 
 
 @query("prediction_vs_actual")
 def prediction_vs_actual(spark, d):
-    comp, fitted, test = _fitted(spark, d)
-    return DM.prediction_vs_actual(fitted[DM.best_model_name(comp)], test)
+    comp, model, test = _fitted(spark, d)
+    return DM.prediction_vs_actual(model(DM.best_model_name(comp)), test)
