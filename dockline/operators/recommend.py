@@ -7,21 +7,24 @@ Many positions (J7): an exact k-nearest-neighbour join without a cross join, by
 tree of cells. Positions on the globe are points of the unit sphere in space, where neither the 180th meridian
 nor the poles are special and the chord grows with the distance. Space is cut into cubes, each level
 eight times finer along an edge than the one above; only occupied cells exist, each with the number and the
-bounding box of its stations. Every position starts with the last cell that holds
-all stations. Round by round its cells are replaced by their children (an equi-join on the cell), and
+bounding box of its stations. Every position starts with all cells of the finest level that has a few only.
+Round by round its cells are replaced by their children (an equi-join on the cell), and
 cells go whose nearest point is farther than a distance within which other cells are known to hold k
 stations. Cells of few stations are not split further; in the end their stations are ranked by the exact
 distance. A dense cell is thus entered only by positions for which some of its parts may matter, and
 a position far from all stations keeps few cells. Stations at one and the same point that can't be among
-the first k there are left out beforehand. Each round is cut with a reliable checkpoint.
+the first k there are left out beforehand. Each round is written to the shared folder.
 """
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import settings as S
 from ..functions.geo import haversine_km
+from ..session import materialize
 from .merge import newest_rows
 
 DIST_DIGITS = 6
@@ -71,7 +74,8 @@ def station_distances(stations: DataFrame, lat: float, lon: float) -> DataFrame:
 # ---- J7: many positions ---------------------------------------------------
 STEP = 3                       # binary levels per level of the tree
 DEEPEST = 21                   # cells of about 6 m; three coordinates fit one bigint
-LEAF = 8                       # stations in a cell that is not split further
+LEAF = 16                      # stations in a cell that is not split further
+START = 32                     # cells that every position starts with, at most
 _SLACK = 1e-12                 # chord units (micrometres), against rounding
 
 
@@ -108,30 +112,33 @@ def recommend_many(positions: DataFrame, latest: DataFrame, need: str = "velo",
     levels = range(0, DEEPEST + 1, STEP)
     st = st.withColumn("_c", F.explode(F.array(*[F.struct(F.lit(lv).alias("level"), _cell(lv).alias("cell"),
                                                         (_cell(lv - STEP) if lv else F.lit(0).cast("bigint")).alias("up")) for lv in levels])))
-    st = st.select("*", "_c.*").drop("_c").checkpoint(eager=True)
+    st = materialize(st.select("*", "_c.*").drop("_c"), "near-stations")
     box = [f(c).alias(c + i) for c in ("x", "y", "z") for f, i in ((F.min, "0"), (F.max, "1"))]
-    cells = (st.groupBy("level", "up", "cell").agg(F.count(F.lit(1)).alias("n"), *box)
-             .withColumn("leaf", (F.col("n") <= LEAF) | (F.col("level") == DEEPEST)).checkpoint(eager=True))
+    cells = st.groupBy("level", "up", "cell").agg(F.count(F.lit(1)).alias("n"), *box)
+    cells = materialize(cells.withColumn("leaf", (F.col("n") <= LEAF) | (F.col("level") == DEEPEST)), "near-cells")
     sizes = {r.level: r.n for r in cells.groupBy("level").agg(F.count(F.lit(1)).alias("n")).collect()}      # one row per level
-    first = max((lv for lv in levels if sizes.get(lv) == 1), default=0)
+    first = max((lv for lv in levels if sizes.get(lv, 0) <= START), default=0)
 
     where = ["cell", "level", "n", "leaf", "x0", "x1", "y0", "y1", "z0", "z1"]
-    pos = _on_sphere(positions.select("position_id", "latitude", "longitude").filter("latitude IS NOT NULL AND longitude IS NOT NULL"),
-                     "latitude", "longitude", "p").withColumn("_p", F.monotonically_increasing_id()).checkpoint(eager=True)
+    pos = positions.select("position_id", "latitude", "longitude").filter("latitude IS NOT NULL AND longitude IS NOT NULL")
+    pos = _on_sphere(pos, "latitude", "longitude", "p").withColumn("_p", F.monotonically_increasing_id())
+    pos = materialize(pos, "near-positions")
     me = ["_p", "px", "py", "pz"]
-    root = cells.filter(F.col("level") == first).select(*where)
-    open_ = pos.select(*me).withColumn("level", F.lit(first)).join(root, "level").select(*me, *where)
+    roots = cells.filter(F.col("level") == first).select(*where).collect()          # at most START rows
+    schema = cells.select(*where).schema.simpleString()
+    held = pos.select(*me, F.explode(F.from_json(F.lit(json.dumps([r.asDict() for r in roots])), f"array<{schema}>")).alias("c")).select(*me, "c.*")
     by_reach = Window.partitionBy("_p").orderBy("far").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    for lv in range(first + STEP, DEEPEST + 1, STEP):
+    for lv in range(first, DEEPEST + 1, STEP):
+        held = held.withColumns({"near": _reach("near"), "far": _reach("far")})
+        held = held.withColumn("sure", F.when(F.sum("n").over(by_reach) >= top_n, F.col("far")))
+        held = held.withColumn("bound", F.min("sure").over(Window.partitionBy("_p")))
+        held = held.filter(F.col("bound").isNull() | (F.col("near") <= F.col("bound") + F.lit(_SLACK)))
+        open_ = materialize(held.select(*me, *where), "near-open")
         if open_.filter("NOT leaf").isEmpty():
             break
-        below = cells.filter(F.col("level") == lv).select("up", *where)
+        below = cells.filter(F.col("level") == lv + STEP).select("up", *where)
         down = open_.filter("NOT leaf").select(*me, F.col("cell").alias("up")).join(below, "up").select(*me, *where)
-        held = open_.filter("leaf").unionByName(down).withColumns({"near": _reach("near"), "far": _reach("far")})
-        held = held.withColumn("sure", F.when(F.sum("n").over(by_reach) >= top_n, F.col("far")))
-        held = held.withColumn("bound", F.min("sure").over(Window.partitionBy("_p")))
-        open_ = (held.filter(F.col("bound").isNull() | (F.col("near") <= F.col("bound") + F.lit(_SLACK)))
-                 .select(*me, *where).checkpoint(eager=True))
+        held = open_.filter("leaf").unionByName(down)
     found = (open_.select("_p", "level", "cell").join(st.select("level", "cell", "station_id", "name", "s_lat", "s_lon"), ["level", "cell"])
              .join(pos.select("_p", "position_id", "latitude", "longitude"), "_p")
              .withColumn("_d", haversine_km("latitude", "longitude", "s_lat", "s_lon")))

@@ -81,4 +81,4 @@ def materialize(df, name: str):
     read is vectorised and prunable."""
     path = shared_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)       # no job to find the schema
