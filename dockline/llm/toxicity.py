@@ -3,8 +3,10 @@
 A text is the bag of the distinct byte n-grams of its lower-cased words (word borders count
 as a blank), hashed into ``BUCKETS``; a word repeated a thousand times counts
 once. Their embeddings, weighted by rarity, are averaged, and a linear softmax tells toxic from not; embeddings and softmax are
-trained together in numpy (Adam). A misspelt word shares most of its n-grams
-with the word it comes from, so it need not have been seen.
+trained together in numpy. The embeddings take plain gradient steps: a bucket then moves as far as
+its texts agree, and a few telling words stand out among many that occur in either kind (steps scaled
+per bucket would let these learn the texts by heart); the small softmax takes Adam steps. A misspelt word
+shares most of its n-grams with the word it comes from, so it need not have been seen.
 
 The model is fitted on at most ``MAX_TOXIC`` and ``MAX_CLEAN`` labelled texts, each of at
 most ``MAX_TRAIN_CHARS`` characters (which bounds what the driver holds), those
@@ -34,9 +36,10 @@ BITS = 18
 BUCKETS = 1 << BITS
 DIM = 8
 MIN_TEXTS = 5                 # training texts that a bucket must occur in to be trained
-EPOCHS = 8
+STEPS = 300                   # batches trained on, whatever the sample's size
 BATCH = 128
-RATE = 0.05
+RATE = 0.05                   # Adam, softmax
+EMB_RATE = 100.0              # gradient steps, embeddings; an average over a text has small gradients
 MAX_TOXIC = 1500
 MAX_CLEAN = 3000
 MAX_TRAIN_CHARS = 20_000
@@ -103,7 +106,7 @@ def fit(texts: list, labels: list[int], seed: int = 11) -> Model:
     # a bucket met in few texts tells little: it counts in the average but stays at 0
     weight = np.where(df >= MIN_TEXTS, np.log((1 + len(seen)) / (1 + df)), np.log((1 + len(seen)) / (1 + MIN_TEXTS))).astype(np.float32)
     weight = np.maximum(weight, 0.01)
-    emb = rng.normal(0, 0.1, (BUCKETS, DIM)).astype(np.float32)
+    emb = rng.normal(0, 0.01, (BUCKETS, DIM)).astype(np.float32)
     emb[df < MIN_TEXTS] = 0
     out, bias = rng.normal(0, 0.5, (DIM, 2)).astype(np.float32), np.zeros(2, np.float32)
     order = rng.permutation(len(seen))
@@ -122,17 +125,17 @@ def fit(texts: list, labels: list[int], seed: int = 11) -> Model:
         by = np.argsort(idx, kind="stable").astype(np.int32)
         used, first = np.unique(idx[by], return_index=True)
         jobs.append((rows, doc, idx, val, by, used, first))
-    state = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in (("emb", emb), ("out", out), ("bias", bias))}
+    state = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in (("out", out), ("bias", bias))}
     t = 0
 
-    def adam(name, value, grad, at=slice(None)):
+    def adam(name, value, grad):
         m, v = state[name]
-        m[at] = 0.9 * m[at] + 0.1 * grad
-        v[at] = 0.99 * v[at] + 0.01 * grad * grad
-        value[at] -= RATE * (m[at] / (1 - 0.9 ** t)) / (np.sqrt(v[at] / (1 - 0.99 ** t)) + 1e-8)
+        m[:] = 0.9 * m + 0.1 * grad
+        v[:] = 0.99 * v + 0.01 * grad * grad
+        value -= RATE * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.99 ** t)) + 1e-8)
 
-    for _ in range(EPOCHS):
-        for j in rng.permutation(len(jobs)):
+    while t < STEPS:
+        for j in rng.permutation(len(jobs))[:STEPS - t]:
             rows, doc, idx, val, by, used, first = jobs[j]
             t += 1
             hid = np.zeros((len(rows), DIM), np.float32)
@@ -148,7 +151,7 @@ def fit(texts: list, labels: list[int], seed: int = 11) -> Model:
             grad = np.add.reduceat((down[doc] * val[:, None])[by], first, axis=0) if len(used) else np.zeros((0, DIM), np.float32)
             adam("out", out, hid.T @ p)
             adam("bias", bias, p.sum(axis=0))
-            adam("emb", emb, grad, used)
+            emb[used] -= EMB_RATE * grad
     side = out[:, 1] - out[:, 0]
     return Model(((emb @ side) * weight).astype(np.float32), weight, float(bias[1] - bias[0]))
 

@@ -2,6 +2,7 @@
 import collections
 import gzip
 import hashlib
+import os
 import random
 import unicodedata
 
@@ -283,6 +284,26 @@ def test_damaged_arc_records_are_skipped():
     assert archive._unpacked(gzip.compress(data)) == data
 
 
+def test_arc_records_keep_their_kind(spark, scratch):
+    head = "1 0 o\nURL IP-address Archive-date Content-type Archive-length\n"
+    dns, http = "20200101000000\nh.example. 300 IN A 1.2.3.4\n" + "z" * 100, "HTTP/1.1 200 OK\r\nX-Page-Id: 7\r\n\r\n" + "y" * 150
+    data = f"filedesc://f.arc 0.0.0.0 20200101000000 text/plain {len(head)}\n{head}\n"
+    for url, mime, body in (("dns:h.example", "text/dns", dns), ("http://h/", "text/html", http), ("dns:h.example", "text/dns", dns), ("http://h/2", "text/html", http)):
+        data += f"{url} 1.2.3.4 20200101000000 {mime} {len(body)}\n{body}\n"
+    os.makedirs(scratch + "/arc")
+    with open(scratch + "/arc/f.arc", "w", newline="") as f:
+        f.write(data)
+    archive.convert(spark, scratch + "/arc", scratch + "/warc")
+    rows = archive.read_warc(spark, scratch + "/warc", info=True).collect()
+    assert sorted(r.record_type for r in rows) == ["resource", "resource", "response", "revisit", "warcinfo"]
+    assert all(r.intact for r in rows) and all(bytes(r.payload) == dns.encode() for r in rows if r.record_type == "resource")
+    raw = b"".join(archive._unpacked(bytes(r.content)) for r in archive.files(spark, scratch + "/warc").collect())
+    kinds = {h["warc-type"]: h for h, _ in archive.warc_records(raw)}
+    assert kinds["resource"]["content-type"] == "text/dns" and kinds["resource"]["warc-target-uri"] == "dns:h.example"
+    assert kinds["warcinfo"]["content-type"] == "application/warc-fields" and kinds["warcinfo"]["warc-filename"] == "f.arc"
+    assert len(archive.read_warc(spark, scratch + "/warc").collect()) == 4
+
+
 def test_license_templates(spark):
     rng = random.Random(2)
     mit = licenses.TEMPLATES[1][1]
@@ -404,3 +425,17 @@ def test_license_passages_across_windows(spark):
     for r in rows:
         known = grams(split(licenses.TEMPLATES[r.template][1]))
         assert r.shared == len(set(grams(split(texts[r.doc_id]))[r.start:r.start + 2 * len(known)]) & set(known))
+
+
+def test_toxicity_tells_a_few_words_in_long_texts():
+    rng = random.Random(12)
+    t = [" ".join(words(rng, 400) + (["idiot"] * 2 if i % 4 == 0 else [])) for i in range(200)]
+    m = toxicity.fit(t[:160], [int(i % 4 == 0) for i in range(160)])
+    s = m.scores(t[160:] + [" ".join(words(rng, 100_000) + ["idiiot", "idiot"]), None, ""])
+    assert sum(a > b for a in s[0:40:4] for i, b in enumerate(s[:40]) if i % 4) >= 0.95 * 300
+    assert s[-1] == s[-2] and 0 < s[-1] < 1
+    # a text longer than a piece gives the bag of the whole
+    long = " ".join(words(rng, 90_000)) + " last-word"
+    assert len(long) > toxicity.PIECE
+    parts = [toxicity.bag(p) for p in (long[:len(long) // 2].rsplit(" ", 1)[0], long[len(long[:len(long) // 2].rsplit(" ", 1)[0]):])]
+    assert set(toxicity.bag(long)) == set(np.concatenate(parts))
