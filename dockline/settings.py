@@ -16,6 +16,7 @@ TRUE_FLAG = "OUI"                         # feed encodes booleans as this string
 HISTOGRAM_BINS = 30
 TOP_N_STATIONS = 10
 LATEST_ALERTS = 20
+LATENCY_TARGET_MINUTES = 5                # from observation to the stored row
 TOP_FEATURES = 15
 RECOMMEND_TOP_N = 3
 POLL_INTERVAL_SECONDS = 60

@@ -172,11 +172,11 @@ def process_batch(batch: DataFrame, epoch_id: int, root: str, feed: str, run: st
         _write(changes, r.epoch_path("station_changes", run, epoch_id))
         alerts = AL.union_alerts(*alerts).withColumn("violation", R.alert_row_violation())
         _write(alerts.filter("violation IS NULL").drop("violation"), r.epoch_path("alerts", run, epoch_id))
-        seen = AL.per_message(rows).select("topic", "partition", "offset", "n_valid", "newest_observed")
+        seen = AL.per_message(rows).select("topic", "partition", "offset", "n_total", "n_valid", "newest_observed")
         newest = (dec.select("source", "fetched_at", "topic", "partition", "offset").join(seen, ["topic", "partition", "offset"], "left")
                   .filter("source IS NOT NULL").groupBy("source")
                   .agg(F.max("fetched_at").alias("last_fetch"), F.max("newest_observed").alias("newest_observed"),
-                       F.coalesce(F.sum("n_valid"), F.lit(0)).alias("n_valid")))
+                       *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n_total", "n_valid")]))
         r.commit(feed, run, epoch_id, newest)
     finally:
         for df in cached:
@@ -269,3 +269,32 @@ def feed_status(spark: SparkSession, root: str, as_of: Column | None = None) ->
     return None if state is None else state.select(
         "source", "last_fetch", "newest_observed", TF.minutes_between(at, F.col("last_fetch")).alias("silent_min"),
         TF.minutes_between(at, F.col("newest_observed")).alias("freshness_min"))
+
+
+def ingest_kpis(spark: SparkSession, root: str) -> DataFrame | None:
+    """Q7 over what the stream has stored, one row: share of the span's minutes in which every
+    source's feed was alive (a fetch at most FEED_GAP_MINUTES ago), minutes from an observation to its
+    row in the table (mean, share within LATENCY_TARGET_MINUTES), share of records rejected, alerts raised."""
+    r = Root(spark, root)
+    man, readings, alerts = r.manifest(), readings_table(spark, root), alerts_table(spark, root)
+    if man is None:
+        return None
+    counts = man.agg(F.sum("n_total").alias("n_records"), (F.sum("n_total") - F.sum("n_valid")).alias("n_rejected"))
+    bronze = BZ.read_committed(spark, root)
+    fetched = bronze.select("source", TF.to_ntz(TF.parse_instant(F.get_json_object(F.col("value").cast("string"), "$.fetched_at"))).alias("fetched_at"))
+    span = fetched.filter("fetched_at IS NOT NULL").groupBy("source").agg(F.min("fetched_at").alias("lo"), F.max("fetched_at").alias("hi"))
+    gaps = AL.feed_gaps(fetched.filter("fetched_at IS NOT NULL")).groupBy("source").agg(
+        F.sum(F.greatest(F.col("gap_min") - S.FEED_GAP_MINUTES, F.lit(0.0))).alias("dead"))
+    alive = span.join(gaps, "source", "left").agg(
+        F.min(F.lit(1.0) - F.coalesce("dead", F.lit(0.0)) / F.greatest(TF.minutes_between("hi", "lo"), F.lit(1.0))).alias("feed_availability"))
+    out = counts.withColumn("_a", alive.scalar())
+    late = TF.minutes_between("ingested_at", "observed_at")
+    if readings is not None:
+        lag = readings.agg(F.struct(F.count(F.lit(1)).alias("n_readings"), F.avg(late).alias("latency_min"),
+                                    F.avg((late < S.LATENCY_TARGET_MINUTES).cast("int")).alias("share_in_time")))
+        out = out.withColumn("_l", lag.scalar())
+    else:
+        out = out.withColumn("_l", F.lit(None).cast("struct<n_readings:bigint,latency_min:double,share_in_time:double>"))
+    n_alerts = alerts.agg(F.count(F.lit(1))).scalar() if alerts is not None else F.lit(0).cast("bigint")
+    return out.select("n_records", "n_rejected", (F.col("n_rejected") / F.nullif(F.col("n_records"), F.lit(0))).alias("reject_share"),
+                      n_alerts.alias("n_alerts"), "_l.*", F.col("_a").alias("feed_availability"))

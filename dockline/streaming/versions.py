@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MARKER = ("feed string, run string, epoch bigint, source string, last_fetch timestamp_ntz, newest_observed timestamp_ntz, "
-          "n_valid bigint")
+          "n_total bigint, n_valid bigint")
 VERSION = "segment string, run string, upto bigint, version bigint"
 
 
@@ -46,10 +46,10 @@ class Root:
         return f"{self.path}/{table}/run={run}/epoch={epoch}"
 
     def commit(self, feed: str, run: str, epoch: int, state: DataFrame) -> None:
-        """Mark an epoch committed. ``state``: source, last_fetch, newest_observed, n_valid; may be empty."""
-        rows = [(feed, r.source, r.last_fetch, r.newest_observed, r.n_valid) for r in state.collect()]     # one row per source
-        rows = rows or [(feed, None, None, None, 0)]
-        cols = "feed string, source string, last_fetch timestamp_ntz, newest_observed timestamp_ntz, n_valid bigint"
+        """Mark an epoch committed. ``state``: source, last_fetch, newest_observed, n_total, n_valid; may be empty."""
+        rows = [(feed, r.source, r.last_fetch, r.newest_observed, r.n_total, r.n_valid) for r in state.collect()]     # one row per source
+        rows = rows or [(feed, None, None, None, 0, 0)]
+        cols = "feed string, source string, last_fetch timestamp_ntz, newest_observed timestamp_ntz, n_total bigint, n_valid bigint"
         self.spark.createDataFrame(rows, cols).coalesce(1).write.mode("overwrite").parquet(self.epoch_path("_manifest", run, epoch))
 
     def manifest(self) -> DataFrame | None:

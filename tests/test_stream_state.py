@@ -176,6 +176,21 @@ def test_key_filter_lets_every_key_through(spark):
     assert everything.filter(PL.key_filter(keys.limit(0), ["k", "t"])).count() == 0
 
 
+def test_kpis_of_the_stored_tables(spark, scratch):
+    assert PL.ingest_kpis(spark, scratch) is None
+    now = (dt.datetime.now(dt.timezone.utc).replace(tzinfo=None) - T0).total_seconds() / 60
+    epoch(spark, scratch, 0, [env([reading("1", now - 60), reading("2", now - 1), reading("3", bikes=-1)], "a", now - 60)])
+    epoch(spark, scratch, 1, [env([reading("1", now)], "b", now - 30), '{"bad'])
+    k = PL.ingest_kpis(spark, scratch).collect()
+    assert len(k) == 1
+    k = k[0]
+    assert (k.n_records, k.n_rejected, k.reject_share, k.n_readings) == (4, 1, 0.25, 3)
+    assert k.share_in_time == pytest.approx(2 / 3) and 20 < k.latency_min < 25
+    # 30 minutes between the fetches, 10 of them covered by the first
+    assert k.feed_availability == pytest.approx(1 - 20 / 30, abs=0.03)
+    assert k.n_alerts == PL.alerts_table(spark, scratch).count() > 0
+
+
 def test_bronze_across_epochs(spark, scratch):
     epoch(spark, scratch, 0, [env([reading("1")], "b1", n=1), env([reading("2")], "b2"), '{"broken'])
     epoch(spark, scratch, 1, [env([reading("1", bikes=7)], "b1", n=2), env([reading("3")], "b3")])
