@@ -31,23 +31,30 @@ import functools
 import hashlib
 import hmac
 import re
+import secrets
 import unicodedata
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import common as C
 
-KEY = b"dockline surrogates"
+KEY_CONF = "dockline.pii.key"
 PLAIN = 4                   # rounds in which candidates have their entity's shape
 
 # Given names by script and gender, surnames by script, titles by gender.
 GIVEN = {
-    ("latin", "f"): "Mary Anna Laura Sophie Emma Julia Alice Clara Maria Elena Nora Ines Marta Lena Paula Rosa Eva Irene Carmen Helena".split(),
-    ("latin", "m"): "John Peter Paul Thomas Martin David Daniel Lucas Oscar Hugo Felix Simon Jonas Emil Victor Andreas Pablo Carlos Pierre Hans".split(),
+    ("latin", "f"): ("Mary Anna Laura Sophie Emma Julia Alice Clara Maria Elena Nora Ines Marta Lena Paula Rosa Eva Irene Carmen Helena "
+                     "Sarah Emily Jennifer Linda Elizabeth Susan Jessica Karen Nancy Margaret Sandra Ashley Kimberly Donna Michelle Amanda "
+                     "Melissa Deborah Stephanie Rebecca Sharon Cynthia Kathleen Amy Angela Anne Catherine Claire Camille Isabelle Nathalie "
+                     "Brigitte Sabine Ursula Monika Petra Katharina Lucía Isabel Pilar").split(),
+    ("latin", "m"): ("John Peter Paul Thomas Martin David Daniel Lucas Oscar Hugo Felix Simon Jonas Emil Victor Andreas Pablo Carlos Pierre Hans "
+                     "James Robert Michael William Richard Joseph Charles Christopher Matthew Anthony Steven Andrew Kenneth Kevin Brian George "
+                     "Timothy Ronald Edward Jason Jeffrey Ryan Jacob Gary Nicholas Eric Jonathan Stephen Jean Jacques François Nicolas Stefan "
+                     "Klaus Wolfgang Jürgen Miguel Antonio José Javier").split(),
     ("cyrillic", "f"): "Анна Мария Елена Ольга Ирина Татьяна Наталья Светлана Екатерина Юлия".split(),
     ("cyrillic", "m"): "Иван Пётр Алексей Дмитрий Сергей Андрей Николай Михаил Павел Владимир".split(),
     ("greek", "f"): "Μαρία Ελένη Άννα Σοφία Κατερίνα Ειρήνη".split(),
@@ -69,6 +76,12 @@ _TITLE = {t: g for g, ts in TITLES.items() for t in ts}
 _COMMON = frozenset("""A An And Are As At But By For From Had Has Have He Her His How I If In Is It Its Not Of On Or Our Said Says She
 So That The Their Then They This To Was We Were What When Where Who Will With You Your Der Die Das Und Ist Hat War Mit Von Für Auf
 Le La Les Et Est Un Une Du Des Dans Pour El Los Las Y Es Una En Con Para И В На Не С Он Она Это Και Το Η Ο""".split())
+# words that are more often something else than a surname: replaced beside a title or given name, not elsewhere
+_ELSE = frozenset("""Monday Tuesday Wednesday Thursday Friday Saturday Sunday January February March April May June July August September
+October November December Street Road Avenue Lane Square Park Bridge Church School Hall House Hill Lake River Montag Dienstag Mittwoch
+Donnerstag Freitag Samstag Sonntag Januar Februar März Mai Juni Juli Oktober Dezember Straße Platz Weg Lundi Mardi Mercredi Jeudi
+Vendredi Samedi Dimanche Janvier Février Mars Avril Juin Juillet Août Rue Place Lunes Martes Miércoles Jueves Viernes Sábado Domingo
+Calle Plaza""".split())
 _CAP = r"(?:[A-Z]['’])?[^\W\d_a-zß-öø-ÿа-яёα-ωά-ώ][^\W\d_]+(?:-[^\W\d_a-zß-öø-ÿа-яёα-ωά-ώ][^\W\d_]+)*"
 PATTERNS = [
     ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"),
@@ -82,6 +95,7 @@ PATTERNS = [
 _RX = [(k, re.compile(p)) for k, p in PATTERNS]
 _HINT = re.compile(r"[@\d=:]")
 _WORD = re.compile(r"\b" + _CAP)
+_LOWER = re.compile(r"(?<!\w)[^\W\d_]+(?!\w)")
 # what may stand between the words of a name: blanks, then initials and particles
 _GAP = re.compile(r"[^\S\n]{1,3}(?:(?:[^\W\d_]\.[^\S\n]?|(?:van|von|de|der|den|del|della|da|di|du|dos|la|le)[^\S\n]))*")
 _AFTER_TITLE = re.compile(r"\.?" + _GAP.pattern + r"|\.")
@@ -159,8 +173,12 @@ def _names(text: str) -> list[tuple[int, int, str]]:
             i += 1
         if pair and surname(i):
             i += 1
-    kinds = {}
+    kinds, lower = {}, None
     for j, k in sorted(known.items()):
+        if k.startswith("surname"):
+            lower = set(_LOWER.findall(text)) if lower is None else lower
+            if words[j][2] in _ELSE or words[j][2].lower() in lower:
+                continue
         kinds.setdefault(words[j][2], k)
         for part in words[j][2].split("-"):                  # "Smith" after "Mary Smith-Miller"
             kinds.setdefault(part, k)
@@ -214,7 +232,12 @@ class _Draw:
         return x.upper() if c.isupper() else x
 
 
-def surrogate(kind: str, canon: str, attempt: int, key: bytes = KEY) -> str:
+def iban_check(country: str, account: str) -> str:
+    """The check digits, from the remainder modulo 97 with letters as 10 to 35."""
+    return f"{98 - int(''.join(str(int(c, 36)) for c in account + country + '00')) % 97:02d}"
+
+
+def surrogate(kind: str, canon: str, attempt: int, key: bytes) -> str:
     """The entity's candidate, in canonical form."""
     d = _Draw(kind, canon, attempt, key)
     more = 2 * max(0, attempt - PLAIN + 1)                   # characters beyond the entity's own
@@ -240,7 +263,9 @@ def surrogate(kind: str, canon: str, attempt: int, key: bytes = KEY) -> str:
             out[0] = [x for x in range(11, 224) if x not in (127, 169, 172, 192)][d.below(209)]
         return ".".join(map(str, out))
     if kind == "iban":
-        return canon[:2] + "".join(d.like(c) for c in canon[2:])
+        body = "".join(d.like(c) for c in canon[4:])
+        right = iban_check(canon[:2], canon[4:]) == canon[2:4]
+        return canon[:2] + (iban_check(canon[:2], body) if right else "".join(d.like(c) for c in canon[2:4])) + body
     if kind == "ssn":
         return "".join(str(d.below(9) + 1) for _ in range(len(canon) + more))
     if kind == "secret":
@@ -275,8 +300,20 @@ def _mentions(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(got, columns=["doc_id", "t", "start", "end", "kind", "canon"]).astype({"doc_id": "Int64"})
 
 
-def assign(entities: DataFrame, key: bytes = KEY) -> DataFrame:
+def session_key(spark: SparkSession) -> bytes:
+    """The key of the session's configuration (``KEY_CONF``). Where there is none a random one is drawn and kept for
+    the session: nobody can try out entities against it, and another session replaces otherwise."""
+    key = spark.conf.get(KEY_CONF, None)
+    if not key:
+        key = secrets.token_hex(32)
+        spark.conf.set(KEY_CONF, key)
+    return key.encode()
+
+
+def assign(entities: DataFrame, key: bytes | None = None) -> DataFrame:
     """(kind, canon, found): a replacement for every (kind, canon), no two alike and none that is an entity."""
+    key = key or session_key(entities.sparkSession)
+
     @F.pandas_udf(T.StringType())
     def candidate(kind: pd.Series, canon: pd.Series, attempt: pd.Series) -> pd.Series:
         return pd.Series([surrogate(k, c, a, key) for k, c, a in zip(kind, canon, attempt)])
@@ -319,8 +356,9 @@ def _replace(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(out, columns=["doc_id", "text", "n_entities", "n_distinct"]).astype({"doc_id": "Int64"})
 
 
-def replace(docs: DataFrame, key: bytes = KEY) -> DataFrame:
+def replace(docs: DataFrame, key: bytes | None = None) -> DataFrame:
     """One row per document: doc_id, the text with surrogates, n_entities, n_distinct."""
+    key = key or session_key(docs.sparkSession)
     d = docs.select("doc_id", F.xxhash64("text").alias("t"), "text")
     found = C.materialize(d.mapInPandas(_mentions, MENTIONS).distinct(), "mentions")
     map_ = assign(found.select("kind", "canon").distinct(), key)

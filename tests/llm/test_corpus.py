@@ -439,3 +439,38 @@ def test_toxicity_tells_a_few_words_in_long_texts():
     assert len(long) > toxicity.PIECE
     parts = [toxicity.bag(p) for p in (long[:len(long) // 2].rsplit(" ", 1)[0], long[len(long[:len(long) // 2].rsplit(" ", 1)[0]):])]
     assert set(toxicity.bag(long)) == set(np.concatenate(parts))
+
+
+def test_names_are_found_and_ordinary_words_stay():
+    found = lambda t: [t[a:b] for a, b, _ in surrogates.find(t)]
+    assert found("Contact Sarah Johnson and Michael Brown today") == ["Sarah", "Johnson", "Michael", "Brown"]
+    assert found("Emily Clark wrote to James Wilson") == ["Emily", "Clark", "James", "Wilson"]
+    assert found("Dear Robert, yours William") == ["Robert", "William"]
+    assert found("Victor Monday called. Monday is a holiday") == ["Victor", "Monday"]
+    assert found("John Street lives on Main Street near Oak Street.") == ["John", "Street"]
+    assert found("Mary Baker asked the baker. Baker said no, Mary left.") == ["Mary", "Baker", "Mary"]
+    assert found("Mary Weber called. Weber said so.") == ["Mary", "Weber", "Weber"]
+
+
+def test_surrogate_key_and_iban(spark):
+    good = "DE89370400440532013000"
+    assert surrogates.iban_check("DE", good[4:]) == "89" and surrogates.iban_check("GB", "WEST12345698765432") == "82"
+    new = surrogates.surrogate("iban", good, 0, b"k")
+    assert new != good and new[:2] == "DE" and surrogates.iban_check("DE", new[4:]) == new[2:4]
+    docs = docs_of(spark, ["SSN 123-45-6789", "SSN 123-45-6789", None, ""]).withColumn("t", F.lit(1)).withColumn("marks", F.lit(2))
+    old = spark.conf.get(surrogates.KEY_CONF, None)
+    try:
+        spark.conf.unset(surrogates.KEY_CONF)
+        free = [r.text for r in surrogates.replace(docs).orderBy("doc_id").collect()]
+        assert free[0] == free[1] != "SSN 123-45-6789" and free[2:] == [None, ""]
+        assert [r.text for r in surrogates.replace(docs).orderBy("doc_id").collect()] == free        # kept for the session
+        for key, same in (("one", None), ("two", None), ("one", 0)):
+            spark.conf.set(surrogates.KEY_CONF, key)
+            got = surrogates.replace(docs).filter("doc_id = 0").first().text
+            first = got if same is None and key == "one" else first
+            assert (got == first) == (key == "one")
+        assert surrogates.replace(docs.limit(0)).count() == 0
+    finally:
+        spark.conf.unset(surrogates.KEY_CONF)
+        if old:
+            spark.conf.set(surrogates.KEY_CONF, old)
