@@ -106,13 +106,23 @@ def _fits(x: str, y: str) -> Column:
             & (9 * F.bit_count(c(x, "b").bitwiseXOR(c(y, "b"))) <= n1 + n2))
 
 
+def _mask(w: Column) -> Column:
+    """Parity bitmap of a set, 512 bits: two bitmaps differ in at most as many bits as the sets in words."""
+    return F.expr("transform(sequence(0, 7), j -> aggregate(w, 0L, (a, x) -> "
+                  "if((shiftright(x, 30) & 7) = j, a ^ shiftleft(1L, cast(shiftright(x, 24) & 63 as int)), a)))")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, texts: DataFrame) -> DataFrame:
-    """(id, other) that are similar; the words come from the documents of the lines named."""
+    """(id, other) that are similar; the words come from the documents of the lines named. A long line fills
+    the bitmap of the postings, so wider ones go first: word sets are shuffled for pairs that pass these only."""
     ids = pairs.select(F.explode(F.array("id", "other")).alias("id")).distinct()
-    w = C.materialize(line_sets(texts, sets.select("id", "at.*").join(ids, "id")), "line-words")
-    both = (pairs.join(w.withColumnRenamed("w", "w1"), "id")
-            .join(w.select(F.col("id").alias("other"), F.col("w").alias("w2")), "other")
-            .withColumn("c", F.size(F.array_intersect("w1", "w2"))))
+    w = line_sets(texts, sets.select("id", "at.*").join(ids, "id")).withColumn("m", _mask(F.col("w"))).withColumn("n", F.size("w"))
+    w = C.materialize(w, "line-words")
+    side = lambda i, *cols: w.select(F.col("id").alias(i), *[F.col(c).alias(c + ("1" if i == "id" else "2")) for c in cols])
+    apart = F.aggregate(F.zip_with("m1", "m2", lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("int")), F.lit(0), lambda a, x: a + x)
+    near = pairs.join(side("id", "m", "n"), "id").join(side("other", "m", "n"), "other").filter(9 * apart <= F.col("n1") + F.col("n2"))
+    near = C.materialize(near.select("id", "other"), "line-near")
+    both = near.join(side("id", "w"), "id").join(side("other", "w"), "other").withColumn("c", F.size(F.array_intersect("w1", "w2")))
     return both.filter(9 * F.col("c") >= 4 * (F.size("w1") + F.size("w2"))).select("id", "other")
 
 
