@@ -13,10 +13,19 @@ length also below ``q25 - FENCE * spread``), spread being the interquartile
 range of the group, and at least the ratio's ``MIN_SPREAD``, so that a group of
 nearly equal clean documents doesn't reject its own small variations. Junk lies on one side: where it
 reaches a quartile, that quartile counts as no farther from the median than the other one (or half of
-``MIN_SPREAD``). So a group's fence holds with up to half of its rows junk. Beyond that it is
-held by the others: no group's fence lies beyond that of its language, if that has ``MIN_GROUP`` documents, nor
-beyond that of all rows. Only word length isn't held by all rows, since languages
-differ in it (and those without blanks most of all).
+``MIN_SPREAD``). So a group's fence holds with up to half of its rows junk.
+
+Where the lower quartile and the median are equal (most documents have no symbol, no repeated line), the quartiles say
+nothing of the group's spread. There the fence is at least ``top + REACH * (top - median)``, ``top`` being the highest of the
+quantiles ``HIGH`` that lies within the fence of the quartiles: a tail that hangs together with the bulk widens it, one that lies
+apart doesn't.
+
+A group speaks for itself, however much it differs from the others: a source that writes more symbols, longer words or
+repeated headings is judged by its own sketch. One case is excepted, a group that is mixed: its median lies beyond the fence of
+its language, and is farther above the lower quartile than ``FENCE`` times the distance to the upper one, so most of the group
+stands apart from a part that is like the others. Such a group is held to its language's fence, and a mixed language to that of all rows
+(but for word length, in which languages differ). A source nearly all of whose rows have the same ratio isn't mixed: that is
+its style, and the rule can't tell it from junk of a single kind.
 
 Defined cases: null and blank texts have no words, so all counts are 0 and
 the base rule fails; null ``lang`` or ``source`` form groups of their own; repeated
@@ -35,9 +44,12 @@ MIN_WORDS = 50              # base rule
 MAX_REPEAT_PCT = 50         # base rule
 SYMBOLS = r"[#*$%&|<>]"
 FENCE = 3
+HIGH = (90, 95, 99)         # quantiles, in percent, that may widen a fence
+REACH = 2
 MIN_GROUP = 100             # documents a group needs for thresholds of its own
 # smallest spread per ratio, in the ratio's unit
-MIN_SPREAD = {"wlen": 30, "symbol": 100, "dup_line": 100, "repeat": 100, "upper": 50}
+MIN_SPREAD = {"wlen": 30, "symbol": 50, "dup_line": 100, "repeat": 50, "upper": 50}
+EDGES = ("lo", "hi", "up", "down")
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
@@ -108,46 +120,48 @@ def merge(sketches: DataFrame, *keys: str) -> DataFrame:
 
 
 def fences(sketches: DataFrame, *keys: str) -> DataFrame:
-    """Per group (n_docs, lo, hi) for each ratio, as columns ``lo_<ratio>`` and ``hi_<ratio>``.
+    """Per group and ratio n_docs, the fence ``lo`` and ``hi``; ``up`` is the median if most of the group stands
+    apart above a part of it, ``down`` if below, else null.
     The windows run over the bins of a sketch, a bounded number."""
     g = W.partitionBy(*keys, "ratio")
     cum = sketches.withColumns({"cum": F.sum("n").over(g.orderBy("bin")), "total": F.sum("n").over(g)})
-    q = cum.groupBy(*keys, "ratio").agg(
-        F.max("total").alias("n_docs"),
-        F.min(F.when(4 * F.col("cum") >= F.col("total"), F.col("bin"))).alias("q25"),
-        F.min(F.when(2 * F.col("cum") >= F.col("total"), F.col("bin"))).alias("q50"),
-        F.min(F.when(4 * F.col("cum") >= 3 * F.col("total"), F.col("bin"))).alias("q75"))
+    at = lambda pct: F.min(F.when(100 * F.col("cum") >= pct * F.col("total"), F.col("bin"))).alias(f"q{pct}")
+    q = cum.groupBy(*keys, "ratio").agg(F.max("total").alias("n_docs"), *[at(pct) for pct in (25, 50, 75, *HIGH)])
     least = F.coalesce(*[F.when(F.col("ratio") == k, F.lit(v)) for k, v in MIN_SPREAD.items()])
     half = F.floor(least / 2).cast("long")
+    below, above = F.col("q50") - F.col("q25"), F.col("q75") - F.col("q50")
     q = q.withColumns({
-        "q25": F.greatest("q25", F.col("q50") - F.greatest(F.col("q75") - F.col("q50"), half)),
-        "q75": F.least("q75", F.col("q50") + F.greatest(F.col("q50") - F.col("q25"), half))})
+        "up": F.when(below > FENCE * F.greatest(above, least), F.col("q50")),
+        "down": F.when(above > FENCE * F.greatest(below, least), F.col("q50")),
+        "one_sided": below == 0,
+        "q25": F.greatest("q25", F.col("q50") - F.greatest(above, half)),
+        "q75": F.least("q75", F.col("q50") + F.greatest(below, half))})
     spread = F.greatest(F.col("q75") - F.col("q25"), least)
     q = q.withColumns({"lo": F.col("q25") - FENCE * spread, "hi": F.col("q75") + FENCE * spread})
-    one = lambda k, v: F.max(F.when(F.col("ratio") == k, F.col(v))).alias(f"{v}_{k}")
-    return q.groupBy(*keys).agg(F.max("n_docs").alias("n_docs"), *[one(k, v) for k in MIN_SPREAD for v in ("lo", "hi")])
+    tops = [F.when(F.col("one_sided") & (F.col(f"q{pct}") <= F.col("hi")), F.col(f"q{pct}")) for pct in HIGH]
+    q = q.withColumn("hi", F.greatest("hi", *[t + REACH * (t - F.col("q50")) for t in tops]))      # nulls don't count
+    return q.select(*keys, "ratio", "n_docs", *EDGES)
 
 
 def thresholds(sketches: DataFrame) -> DataFrame:
-    """(lang, source, lo_*, hi_*) for every group met, taken from the finest of
-    (lang, source), lang, all that has ``MIN_GROUP`` documents, else from all, and
-    not beyond those of the coarser groups."""
-    edges = [f"{v}_{k}" for k in MIN_SPREAD for v in ("lo", "hi")]
-    fine = fences(sketches, "lang", "source")
-    by_lang = fences(merge(sketches, "lang"), "lang").select(
-        F.col("lang").alias("_lang"), F.col("n_docs").alias("_n"), *[F.col(e).alias("l_" + e) for e in edges])
-    # every row carries the same key, so that the one row for all can be joined by equality
-    whole = fences(merge(sketches.withColumn("k", F.lit(1)), "k"), "k").select(
-        F.col("k").alias("_k"), *[F.col(e).alias("a_" + e) for e in edges])
-    df = fine.join(by_lang, F.col("lang").eqNullSafe(F.col("_lang")), "left").withColumn("k", F.lit(1))
-    df = df.join(F.broadcast(whole), F.col("k") == F.col("_k"), "left")
-    alone, spoken = F.col("n_docs") >= MIN_GROUP, F.col("_n") >= MIN_GROUP
-
-    def pick(e: str):
-        tighter = F.greatest if e.startswith("lo_") else F.least      # nulls don't count
-        whole_ = F.when(~spoken, F.col("a_" + e)) if e.endswith("_wlen") else F.col("a_" + e)
-        return tighter(F.when(alone, F.col(e)), F.when(spoken, F.col("l_" + e)), whole_)
-    return df.select("lang", "source", *[pick(e).alias("t_" + e) for e in edges])
+    """(lang, source, t_lo_*, t_hi_*) for every group met, taken from the finest of
+    (lang, source), lang, all that has ``MIN_GROUP`` documents and isn't mixed, else from all."""
+    named = lambda df, p: df.select(*[F.col(c).alias(p + c) for c in df.columns])
+    by_lang = named(fences(merge(sketches, "lang"), "lang"), "l_")
+    df = fences(sketches, "lang", "source").join(
+        by_lang, F.col("lang").eqNullSafe(F.col("l_lang")) & (F.col("ratio") == F.col("l_ratio")), "left")
+    df = df.join(F.broadcast(named(fences(merge(sketches)), "a_")), F.col("ratio") == F.col("a_ratio"), "left")   # a row per ratio
+
+    def own(p: str, side: str, coarser: str):
+        """The fence of a level, unless the group is mixed on that side."""
+        mixed = F.col(p + "up") > F.col(coarser) if side == "hi" else F.col(p + "down") < F.col(coarser)
+        return F.when(F.coalesce(mixed, F.lit(False)), F.col(coarser)).otherwise(F.col(p + side))
+    for side in ("lo", "hi"):
+        lang = F.when(F.col("ratio") == "wlen", F.col("l_" + side)).otherwise(own("l_", side, "a_" + side))
+        df = df.withColumn("b_" + side, F.when(F.col("l_n_docs") >= MIN_GROUP, lang).otherwise(F.col("a_" + side)))
+        df = df.withColumn("t_" + side, F.when(F.col("n_docs") >= MIN_GROUP, own("", side, "b_" + side)).otherwise(F.col("b_" + side)))
+    one = lambda side, k: F.max(F.when(F.col("ratio") == k, F.col("t_" + side))).alias(f"t_{side}_{k}")
+    return df.groupBy("lang", "source").agg(*[one(side, k) for k in MIN_SPREAD for side in ("lo", "hi")])
 
 
 def judge(measured: DataFrame, edges: DataFrame, p: str = "", lang: str = "lang", source: str = "source") -> DataFrame:
@@ -208,16 +222,26 @@ g AS (SELECT 1 AS lev, lang, source, ratio, bin FROM s UNION ALL SELECT 2, lang,
 k AS (SELECT lev, lang, source, ratio, bin, count(*) AS n FROM g GROUP BY ALL),
 cu AS (SELECT *, sum(n) OVER (PARTITION BY lev, lang, source, ratio ORDER BY bin) AS cum,
               sum(n) OVER (PARTITION BY lev, lang, source, ratio) AS total FROM k),
-q AS (SELECT lev, lang, source, ratio, max(total) AS n_docs, min(bin) FILTER (4 * cum >= total) AS q25,
-             min(bin) FILTER (4 * cum >= 3 * total) AS q75,
-             CASE ratio WHEN 'wlen' THEN 30 WHEN 'upper' THEN 50 ELSE 100 END AS least FROM cu GROUP BY ALL),
-f AS (SELECT *, q25 - 3 * greatest(q75 - q25, least) AS lo, q75 + 3 * greatest(q75 - q25, least) AS hi FROM q),
+q AS (SELECT lev, lang, source, ratio, max(total) AS n_docs, min(bin) FILTER (100 * cum >= 25 * total) AS q25,
+             min(bin) FILTER (100 * cum >= 50 * total) AS q50, min(bin) FILTER (100 * cum >= 75 * total) AS q75,
+             min(bin) FILTER (100 * cum >= 90 * total) AS q90, min(bin) FILTER (100 * cum >= 95 * total) AS q95,
+             min(bin) FILTER (100 * cum >= 99 * total) AS q99,
+             CASE ratio WHEN 'wlen' THEN 30 WHEN 'dup_line' THEN 100 ELSE 50 END AS margin FROM cu GROUP BY ALL),
+q2 AS (SELECT *, q50 - q25 > 3 * greatest(q75 - q50, margin) AS apart_above, q75 - q50 > 3 * greatest(q50 - q25, margin) AS apart_below,
+              greatest(q25, q50 - greatest(q75 - q50, margin // 2)) AS a25, least(q75, q50 + greatest(q50 - q25, margin // 2)) AS a75
+       FROM q),
+f0 AS (SELECT *, a25 - 3 * greatest(a75 - a25, margin) AS lo, a75 + 3 * greatest(a75 - a25, margin) AS hi0 FROM q2),
+f AS (SELECT *, CASE WHEN q25 < q50 THEN hi0 WHEN q99 <= hi0 THEN greatest(hi0, 3 * q99 - 2 * q50)
+                     WHEN q95 <= hi0 THEN greatest(hi0, 3 * q95 - 2 * q50) WHEN q90 <= hi0 THEN greatest(hi0, 3 * q90 - 2 * q50)
+                     ELSE hi0 END AS hi FROM f0),
+l AS (SELECT l.lang, l.ratio,
+             CASE WHEN l.n_docs < 100 OR (l.ratio <> 'wlen' AND l.apart_above AND l.q50 > w.hi) THEN w.hi ELSE l.hi END AS hi,
+             CASE WHEN l.n_docs < 100 OR (l.ratio <> 'wlen' AND l.apart_below AND l.q50 < w.lo) THEN w.lo ELSE l.lo END AS lo
+      FROM (SELECT * FROM f WHERE lev = 2) l JOIN (SELECT * FROM f WHERE lev = 3) w ON l.ratio = w.ratio),
 e AS (SELECT a.lang, a.source, a.ratio,
-             CASE WHEN a.n_docs >= 100 THEN a.lo WHEN l.n_docs >= 100 THEN l.lo ELSE w.lo END AS lo,
-             CASE WHEN a.n_docs >= 100 THEN a.hi WHEN l.n_docs >= 100 THEN l.hi ELSE w.hi END AS hi
-      FROM (SELECT * FROM f WHERE lev = 1) a
-      JOIN (SELECT * FROM f WHERE lev = 2) l ON a.lang IS NOT DISTINCT FROM l.lang AND a.ratio = l.ratio
-      JOIN (SELECT * FROM f WHERE lev = 3) w ON a.ratio = w.ratio),
+             CASE WHEN a.n_docs < 100 OR (a.apart_above AND a.q50 > l.hi) THEN l.hi ELSE a.hi END AS hi,
+             CASE WHEN a.n_docs < 100 OR (a.apart_below AND a.q50 < l.lo) THEN l.lo ELSE a.lo END AS lo
+      FROM (SELECT * FROM f WHERE lev = 1) a JOIN l ON a.lang IS NOT DISTINCT FROM l.lang AND a.ratio = l.ratio),
 x AS (SELECT rid, bool_and(v.val <= e.hi AND (v.ratio <> 'wlen' OR v.val >= e.lo)) AS ok
       FROM (SELECT rid, lang, source, unnest(['wlen', 'symbol', 'dup_line', 'repeat', 'upper']) AS ratio,
                    unnest([wlen, symbol, dup_line, repeat, upper]) AS val FROM b WHERE NOT base_failed) v

@@ -6,6 +6,7 @@ import os
 import random
 import unicodedata
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -405,6 +406,28 @@ def test_quality_junk_does_not_move_the_fence(spark):
     assert not wrong and not any(got[i].base_failed for i, r in enumerate(rows) if r[3])
 
 
+def test_quality_a_source_may_differ(spark):
+    """Clean sources unlike all others are kept by their own sketches; a mixed one is held to its language's."""
+    rng = random.Random(19)
+    text = lambda: " ".join(words(rng, 80))
+    code = lambda: " ".join(w + (" #" if i % 2 else "") for i, w in enumerate(words(rng, 80)))
+    long = lambda: " ".join(w + "abcdefgh" for w in words(rng, 80))
+    junk = lambda: " ".join(w + " ###" for w in words(rng, 60))
+    rows = [(text(), "en", "web", True) for _ in range(700)] + [(code(), "en", "code", True) for _ in range(300)]
+    rows += [(long(), "en", "papers", True) for _ in range(150)] + [(junk(), "en", "code", False) for _ in range(40)]
+    rows += [(junk() if i < 110 else text(), "en", "mixed", i >= 110) for i in range(200)]
+    rows += [(code(), None, "small", False) for _ in range(20)]          # too few to speak for themselves
+    docs = spark.createDataFrame([(i, t, lang, source, len(t)) for i, (t, lang, source, _) in enumerate(rows)], DOCS)
+    got = {r.doc_id: r for r in quality.rules(docs).collect()}
+    assert not [(i, r[2], r[3]) for i, r in enumerate(rows) if got[i].kept != r[3]]
+    con = duckdb.connect()
+    con.register("documents", docs.toPandas())
+    want = con.execute(quality.ORACLE).df().set_index("doc_id")["kept"].to_dict()
+    assert want == {i: r.kept for i, r in got.items()}
+    edges = quality.thresholds(quality.sketch(quality.measure(docs).drop("text"))).collect()
+    assert len({r.t_hi_symbol for r in edges}) >= 2 and len({r.t_hi_wlen for r in edges}) >= 2
+
+
 def test_license_passages_across_windows(spark):
     rng = random.Random(17)
     mit, texts = licenses.TEMPLATES[1][1].split(), []
