@@ -14,8 +14,10 @@ is at most ``floor(n * (1 - SIMILARITY))``.
    then differ in few of the 3n written places.
 3. Bit-sampling LSH. Of each of ``WALKS`` independent walks ``SAMPLES`` samples of ``BITS``
    places are compared; a window equal to its item in any sample is a candidate. The number of
-   samples is measured, not guessed: ``walks_for`` edits the items themselves to
-   the limit, and doubles the walks until ``RECALL`` of the edited copies collide.
+   walks is measured, not guessed, and for each item length of its own: ``walks_for`` edits items of that length to
+   the limit, and doubles the walks until ``RECALL`` of the edited copies collide. Long items
+   need more walks than short ones. A length that would need over ``MOST_WALKS`` isn't hashed: all
+   its windows go to the exact check.
 4. Exact check. Candidates are verified by edit distance to the best
    substring around the window.
 
@@ -46,6 +48,8 @@ RECALL = 0.99
 BITS = 4
 SAMPLES = 32                    # of each walk
 WALKS = 4                       # to begin with
+MOST_WALKS = 64                 # more than these cost more than the exact check
+TRY_WORDS = 1 << 19             # words of edited copies that the walks of a length are measured on
 BLOCK_BYTES = 32 << 20
 MAX_Q = 3
 BATCH_CHARS = 8 << 20           # text searched together
@@ -138,35 +142,42 @@ def edits(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
     return best
 
 
-def walks_for(items: list[np.ndarray], seed: int = 7, tries: int = 2000) -> int:
-    """Walks with which RECALL of copies edited up to the limit collide; measured on the items."""
-    rng = random.Random(seed)
-    pool = [x for x in items if limit(len(x))]
-    if not pool:
-        return WALKS
-    by_n = defaultdict(list)
-    for _ in range(tries):
-        x = rng.choice(pool)
-        y, k = x.tolist(), limit(len(x))
-        for e in range(k):
-            i = rng.randrange(len(y))
-            kind = rng.randrange(3)
-            if kind == 0:
-                y[i] = 10 ** 9 + e
-            elif kind == 1:
-                del y[i]
-            else:
-                y.insert(i, 10 ** 9 + e)
-        y = (y + [2 * 10 ** 9 + i for i in range(len(x))])[:len(x)]      # what follows in a window
-        by_n[len(x)].append((x, np.array(y)))
-    walks = WALKS
-    while walks < 64:
-        hits = sum(int(collide(np.array([b for _, b in v]), [sampled(np.array([a for a, _ in v]), w) for w in range(walks)],
-                               np.arange(len(v)), walks).sum()) for v in by_n.values())
-        if hits >= RECALL * tries:
-            break
-        walks *= 2
-    return walks
+def edited(item: np.ndarray, rng: random.Random) -> list[int]:
+    """A copy of ``item`` edited up to the limit; new words have numbers from 10 ** 9."""
+    y = item.tolist()
+    for e in range(limit(len(item))):
+        i = rng.randrange(len(y))
+        kind = rng.randrange(3)
+        if kind == 0:
+            y[i] = 10 ** 9 + e
+        elif kind == 1:
+            del y[i]
+        else:
+            y.insert(i, 10 ** 9 + e)
+    return y
+
+
+def walks_for(items: list[np.ndarray], seed: int = 7) -> int | None:
+    """Walks with which RECALL of copies edited up to the limit collide, measured on ``items``, which are
+    of one length; None if MOST_WALKS don't do. Equal rows always collide."""
+    n = len(items[0])
+    if not limit(n):
+        return 1
+    rng = random.Random(seed * 1_000_003 + n)
+    tries = max(100, min(2000, TRY_WORDS // n))
+    a = np.array([rng.choice(items) for _ in range(tries)])
+    after = [2 * 10 ** 9 + i for i in range(n)]                              # what follows a copy in its window
+    b = np.array([(edited(x, rng) + after)[:n] for x in a])
+    left, walks, done = np.arange(tries), WALKS, 0
+    while walks <= MOST_WALKS:
+        for w in range(done, walks):
+            left = left[~(sampled(a[left], w) == sampled(b[left], w)).any(axis=1)]
+            if not len(left):
+                break
+        if len(left) <= (1 - RECALL) * tries:
+            return walks
+        walks, done = 2 * walks, walks
+    return None
 
 
 class Index:
@@ -180,12 +191,14 @@ class Index:
         self.number = {w: i for i, w in enumerate(sorted({x for t in self.ids for x in t}))}
         self.items = [np.array([self.number[x] for x in t]) for t in self.ids]
         self.owners = list(self.ids.values())
-        self.walks = walks_for(self.items)
-        self.row, self.hashes = {}, {}                                      # per length: row of an item, hashes per walk
-        for n in {len(x) for x in self.items}:
-            mine = [j for j, x in enumerate(self.items) if len(x) == n]
-            self.row |= {j: r for r, j in enumerate(mine)}
-            self.hashes[n] = [sampled(np.array([self.items[j] for j in mine]), w) for w in range(self.walks)]
+        self.row, self.walks, self.hashes = {}, {}, {}                      # row of an item; per length: walks, hashes per walk
+        by_n = defaultdict(list)
+        for j, x in enumerate(self.items):
+            self.row[j] = len(by_n[len(x)])
+            by_n[len(x)].append(x)
+        for n, mine in by_n.items():
+            self.walks[n] = walks_for(mine)
+            self.hashes[n] = [sampled(np.array(mine), w) for w in range(self.walks[n] or 0)]
         self.runs = {q: defaultdict(list) for q in range(1, MAX_Q + 1)}      # hash of q words -> (item, offset)
         for j, x in enumerate(self.items):
             q = run_length(len(x))
@@ -232,12 +245,16 @@ class Index:
                 by_n[len(self.items[j])].append((i, j, s))
         hits = defaultdict(list)
         for n, found in by_n.items():
+            if self.walks[n] is None:                            # exact check only
+                for i, j, p in found:
+                    hits[i, j].append(p)
+                continue
             ends = np.full(n, -2, np.int64)                      # beyond a document
             for k in range(0, len(found), STEP_WINDOWS):
                 part = found[k:k + STEP_WINDOWS]
                 rows = np.array([np.concatenate([ends[:max(0, -s)], docs[i][max(0, s):s + n], ends])[:n] for i, _, s in part])
                 which = np.array([self.row[j] for _, j, _ in part])
-                for h in np.flatnonzero(collide(rows, self.hashes[n], which, self.walks)).tolist():
+                for h in np.flatnonzero(collide(rows, self.hashes[n], which, self.walks[n])).tolist():
                     i, j, s = part[h]
                     hits[i, j].append(s)
         for (i, j), starts in sorted(hits.items()):

@@ -190,6 +190,32 @@ def test_decontamination_equals_brute_force(spark):
     assert decontaminate.leaks(docs.limit(0), bench).count() == 0 and decontaminate.leaks(docs, bench.limit(0)).count() == 0
 
 
+def test_decontamination_recall_holds_for_each_length(monkeypatch):
+    """A few long items in a pool of short ones are found as often; above the most walks the exact check finds all."""
+    rng = random.Random(23)
+    sizes = [20] * 300 + [16] * 4 + [60] * 4 + [200] * 4 + [400] * 4
+    items = [words(rng, n, 5000) for n in sizes]
+    index = decontaminate.Index([(i, " ".join(x)) for i, x in enumerate(items)])
+    assert index.walks[400] is None or index.walks[400] > index.walks[20]
+
+    def missed(index, copies):
+        want, texts = [], []
+        for i in range(300, len(items)):
+            for _ in range(copies):
+                copy = [items[i][x] if x < 10 ** 9 else f"e{x}" for x in decontaminate.edited(np.arange(len(items[i])), rng)]
+                want.append(i)
+                texts.append(" ".join(words(rng, 30, 5000) + copy + words(rng, 30, 5000)))
+        got = {(n, i) for n, i, *_ in index.search(texts)}
+        return collections.Counter(len(items[i]) for n, i in enumerate(want) if (n, i) not in got)
+    lost = missed(index, 15)                                  # 60 copies of each length
+    assert all(lost[n] <= 3 for n in (16, 60, 200, 400)), lost
+    monkeypatch.setattr(decontaminate, "MOST_WALKS", 0)
+    exact = decontaminate.Index([(i, " ".join(x)) for i, x in enumerate(items) if len(x) != 400])
+    assert set(exact.walks.values()) == {None}
+    lost = missed(exact, 3)
+    assert not any(lost[n] for n in (16, 60, 200))
+
+
 def test_edit_distance_to_substring():
     rng = random.Random(1)
     def full(a, b):
