@@ -7,12 +7,14 @@ smaller document, or earlier in its own.
    lowest hash in it. Equal strings have equal minimizers, so strings need to be compared
    only within a minimizer. Neighbouring strings mostly share theirs: a document
    becomes a list of segments, each the strings of one minimizer (about one per
-   35 bytes); only (minimizer, digest of the segment, document, place) is shuffled.
-2. Equal segments (128 bits of hash agree: minimizer and digest) fall together: all but the earliest
+   35 bytes); only (minimizer, two digests of the segment, document, place) is shuffled.
+2. Equal segments (both 64-bit digests agree, over bytes and over mixed grams, and the minimizer) fall together: all but the earliest
    are repeats as a whole. What a batch repeats within itself is settled before the shuffle.
    A minimizer that is left with one segment has nothing to compare.
 3. The rest, the ends of shared passages mostly, is cut from the texts and dealt by
-   minimizer into shards of about ``SHARD`` bytes. A shard's suffix array is built by
+   minimizer into shards of about ``SHARD`` bytes. A string that two segments share has its minimizer at
+   the same place in both, so they agree in one of a few windows of ``CORE`` bytes around it; segments that agree
+   with none in any have nothing to compare. The others are sorted: a shard's suffix array is built by
    induced sorting; common prefixes of ``LENGTH`` bytes in text order mark the classes of equal strings, and
    all but the earliest of a class are repeats.
 4. A minimizer with over ``MOST`` different segments is not dealt to one task: its strings are
@@ -43,6 +45,8 @@ SPAN = LENGTH - GRAM + 1       # grams in a string
 PIECE = 1 << 20                # bytes hashed together
 SHARD = 1 << 20                # bytes in a suffix array
 MOST = 8192                    # segments of a minimizer in a shard
+STEP = 17                      # windows around a minimizer start every STEP bytes
+CORE = LENGTH - STEP + 1       # bytes of them: any string with the minimizer holds one as a whole
 _U = np.uint64
 _P = 0x9E3779B97F4A7C15
 _PINV = pow(_P, -1, 2 ** 64)
@@ -62,13 +66,14 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.cumprod(p, dtype=np.uint64)
 
 
-_UP, _DOWN = _powers(_P, 2 * PIECE + LENGTH), _powers(_PINV, 2 * PIECE + LENGTH)
+_ROOM = 2 * PIECE + SHARD + MOST * (LENGTH + SPAN)   # the longest piece or shard
+_UP, _DOWN = _powers(_P, _ROOM), _powers(_PINV, _ROOM)
 
 
-def sums(data: np.ndarray) -> np.ndarray:
-    """Prefix sums from which ``digest`` reads the hash of any substring."""
-    s = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE[data] * _UP[:len(data)], out=s[1:])
+def sums(values: np.ndarray) -> np.ndarray:
+    """Prefix sums from which ``digest`` reads the hash of any run of values."""
+    s = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * _UP[:len(values)], out=s[1:])
     return s
 
 
@@ -76,18 +81,23 @@ def digest(s: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
     return _mix64((s[hi] - s[lo]) * _DOWN[lo] + (hi - lo).astype(np.uint64))
 
 
+def grams(data: np.ndarray) -> np.ndarray:
+    """The hash of the ``GRAM`` bytes from each place on, by doubling."""
+    h, width = _BYTE[data], 1
+    while width < GRAM:
+        h = h[:-width] * _U(pow(_P, width, 2 ** 64)) + h[width:]
+        width *= 2
+    return _mix64(h)
+
+
 def segments(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(piece, minimizer, digest, first string, strings) of the segments of the pieces
+    """(piece, minimizer, two digests, first string, strings) of the segments of the pieces
     ``data[starts[i]:ends[i]]``; places count from the piece's start."""
     n = len(data) - LENGTH + 1
     empty = np.empty(0, np.int64)
     if n <= 0:
-        return empty, empty.view(np.uint64), empty.view(np.uint64), empty, empty
-    h, width = _BYTE[data], 1
-    while width < GRAM:                                        # hash of GRAM bytes by doubling
-        h = h[:-width] * _U(pow(_P, width, 2 ** 64)) + h[width:]
-        width *= 2
-    h = _mix64(h)
+        return empty, *[empty.view(np.uint64)] * 3, empty, empty
+    h = grams(data)
     v = (h & ~_U(2 ** 24 - 1)) | np.arange(len(h), dtype=np.uint64)
     width = 1
     while 2 * width <= SPAN:
@@ -100,13 +110,15 @@ def segments(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np
     first = np.repeat(starts, lengths) + np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
     at = at[first]
     if not len(at):
-        return empty, empty.view(np.uint64), empty.view(np.uint64), empty, empty
+        return empty, *[empty.view(np.uint64)] * 3, empty, empty
     new = np.ones(len(at), bool)
     new[1:] = (at[1:] != at[:-1]) | (piece[1:] != piece[:-1])
     lo = np.flatnonzero(new)
     count = np.diff(np.append(lo, len(at)))
     begin, piece = first[lo], piece[lo]
-    return piece, h[at[lo]], digest(sums(data), begin, begin + count + LENGTH - 1), begin - starts[piece], count
+    end = begin + count + LENGTH - 1
+    return (piece, h[at[lo]], digest(sums(_BYTE[data]), begin, end), digest(sums(_mix64(h)), begin, end - GRAM + 1),
+            begin - starts[piece], count)
 
 
 def _pieces(texts: list[bytes]) -> Iterator[tuple[np.ndarray, list, list, list, list]]:
@@ -136,8 +148,8 @@ def _bytes(text) -> bytes:
     return b"" if text is None else text.encode("utf-8", "surrogatepass")
 
 
-FILED = "p long, h long, g long, d long, t long, s long, n int, dup boolean"
-COLS = ["p", "h", "g", "d", "t", "s", "n", "dup"]
+FILED = "p long, h long, g long, g2 long, d long, t long, s long, n int, dup boolean"
+COLS = ["p", "h", "g", "g2", "d", "t", "s", "n", "dup"]
 
 
 def _file(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -146,13 +158,13 @@ def _file(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         texts = [_bytes(t) for t in pdf["text"]]
         d, t = pdf["d"].to_numpy(), pdf["t"].to_numpy()
         for data, who, off, start, end in _pieces(texts):
-            piece, h, g, s, n = segments(data, np.array(start), np.array(end))
+            piece, h, g, g2, s, n = segments(data, np.array(start), np.array(end))
             who, off = np.array(who), np.array(off)
-            out = pd.DataFrame({"h": h.view(np.int64), "g": g.view(np.int64), "d": d[who[piece]], "t": t[who[piece]],
-                                "s": s + off[piece], "n": n.astype(np.int32)})
-            out = out.sort_values(["h", "g", "d", "t", "s"], kind="stable")
-            twin = out.duplicated(["h", "g"])
-            same = out.duplicated(["h", "g", "d", "t", "s"])
+            out = pd.DataFrame({"h": h.view(np.int64), "g": g.view(np.int64), "g2": g2.view(np.int64),
+                                "d": d[who[piece]], "t": t[who[piece]], "s": s + off[piece], "n": n.astype(np.int32)})
+            out = out.sort_values(["h", "g", "g2", "d", "t", "s"], kind="stable")
+            twin = out.duplicated(["h", "g", "g2"])
+            same = out.duplicated(["h", "g", "g2", "d", "t", "s"])
             out["dup"] = twin
             any_ = _mix64(out["s"].to_numpy().astype(np.uint64) + _U(1) + out["d"].to_numpy().astype(np.uint64) * _U(_P)).view(np.int64)
             out["p"] = np.where(twin, any_, out["h"])
@@ -163,7 +175,7 @@ FOUND = "dup boolean, h long, d long, t long, s long, n int"
 
 
 def _compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Reads segments sorted by (minimizer, digest, place): repeats of an equal segment are ``dup``; the first
+    """Reads segments sorted by (minimizer, digests, place): repeats of an equal segment are ``dup``; the first
     of each of several different segments of a minimizer goes on to be compared."""
     cols = ["dup", "h", "d", "t", "s", "n"]
     carry, several = None, False         # the last segment's first row; its minimizer has been met with another
@@ -175,11 +187,11 @@ def _compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         if not len(rows):
             yield done[cols]
             continue
-        h, g = rows["h"].to_numpy(), rows["g"].to_numpy()
+        h, g, g2 = rows["h"].to_numpy(), rows["g"].to_numpy(), rows["g2"].to_numpy()
         newh = np.ones(len(rows), bool)
         newh[1:] = h[1:] != h[:-1]
         newg = newh.copy()
-        newg[1:] |= g[1:] != g[:-1]
+        newg[1:] |= (g[1:] != g[:-1]) | (g2[1:] != g2[:-1])
         place = rows[["d", "t", "s"]].to_numpy()
         first = place[np.maximum.accumulate(np.where(newg, np.arange(len(rows)), 0))]
         dup = ~newg & (place != first).any(axis=1)
@@ -230,11 +242,49 @@ def _runs(d, t, s) -> pd.DataFrame:
     return pd.DataFrame({"d": d[lo], "t": t[lo], "s": s[lo], "n": np.diff(np.append(lo, len(s))).astype(np.int32)})
 
 
+def _text(rows: list[tuple]) -> tuple[np.ndarray, ...]:
+    """The segments' bytes with a zero between them, where each begins, and its size."""
+    text = b"\x00".join(r[4] for r in rows)
+    sizes = np.array([len(r[4]) for r in rows])
+    return text, np.cumsum(sizes + 1) - sizes - 1, sizes
+
+
+def agreeing(rows: list[tuple]) -> list[tuple]:
+    """The segments that agree with another of their minimizer in a window of ``CORE`` bytes around it, cut to the strings that
+    hold such a window; where a segment holds its minimizer more than once, all of that minimizer as they are."""
+    text, begin, sizes = _text(rows)
+    data = np.frombuffer(text, np.uint8)
+    h = np.array([r[0] for r in rows], np.int64).view(np.uint64)
+    seg = np.repeat(np.arange(len(rows)), sizes + 1)
+    hit = np.flatnonzero(grams(data) == h[seg[:len(data) - GRAM + 1]])
+    whole = np.bincount(seg[hit], minlength=len(rows)) != 1
+    whole = np.isin(h, h[whole])
+    at = np.zeros(len(rows), np.int64)
+    at[seg[hit]] = hit
+    total = sums(_BYTE[data])
+    lo, hi = begin + sizes, begin.copy()                       # the bytes of the strings to keep
+    for back in range(0, SPAN, STEP):                          # strings with the minimizer at back to back + STEP - 1
+        w = at - back
+        i = np.flatnonzero(~whole & (w >= begin) & (w + CORE <= begin + sizes))
+        g = digest(total, w[i], w[i] + CORE)
+        by = np.lexsort((g, h[i]))
+        same = (g[by][1:] == g[by][:-1]) & (h[i][by][1:] == h[i][by][:-1])
+        pair = np.zeros(len(by), bool)
+        pair[1:] |= same
+        pair[:-1] |= same
+        i = i[by[pair]]
+        lo[i] = np.minimum(lo[i], np.maximum(w[i] - STEP + 1, begin[i]))
+        hi[i] = np.maximum(hi[i], np.minimum(w[i] + LENGTH, begin[i] + sizes[i]))
+    lo, hi = np.where(whole, 0, lo - begin).tolist(), np.where(whole, sizes, hi - begin).tolist()
+    return [(m, d, t, s + a, b[a:e]) for (m, d, t, s, b), a, e in zip(rows, lo, hi) if e - a >= LENGTH]
+
+
 def repeats_in(rows: list[tuple]) -> pd.DataFrame:
-    """Of segments (d, t, s, bytes): the strings that start earlier in another or the same segment."""
-    text = b"\x00".join(r[3] for r in rows)
-    sizes = np.array([len(r[3]) for r in rows])
-    begin = np.cumsum(sizes + 1) - sizes - 1
+    """Of segments (h, d, t, s, bytes): the strings that start earlier in another or the same segment."""
+    rows = agreeing(rows)
+    if not rows:
+        return pd.DataFrame({"d": [], "t": [], "s": [], "n": []}, dtype=np.int64)
+    text, begin, sizes = _text(rows)
     sa = suffix_array(np.frombuffer(text, np.uint8), 256)
     seg = np.repeat(np.arange(len(rows)), sizes + 1)[:len(text)]
     at = np.arange(len(text)) - begin[seg]
@@ -244,9 +294,9 @@ def repeats_in(rows: list[tuple]) -> pd.DataFrame:
     joined = permuted_lcp(text, sa, LENGTH)[sa] >= LENGTH
     keep = whole[sa]
     order, cls = sa[keep], np.cumsum(~joined)[keep]
-    d = np.array([r[0] for r in rows])[seg[order]]
-    t = np.array([r[1] for r in rows])[seg[order]]
-    s = np.array([r[2] for r in rows])[seg[order]] + at[order]
+    d = np.array([r[1] for r in rows])[seg[order]]
+    t = np.array([r[2] for r in rows])[seg[order]]
+    s = np.array([r[3] for r in rows])[seg[order]] + at[order]
     by = np.lexsort((s, t, d, cls))
     c = cls[by]
     later = np.zeros(len(c), bool)
@@ -263,7 +313,7 @@ def _search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if size >= SHARD and h != last:
                 yield repeats_in(rows)
                 rows, size = [], 0
-            rows.append((d, t, s, bytes(b)))
+            rows.append((h, d, t, s, bytes(b)))
             size, last = size + len(b) + 1, h
     if rows:
         yield repeats_in(rows)
@@ -293,7 +343,7 @@ def keyed(docs: DataFrame) -> DataFrame:
 def repeats(docs: DataFrame) -> DataFrame:
     """(d, t, s, n): runs of n places from byte s on where a string starts that starts earlier, too."""
     filed = docs.select("d", "t", "text").mapInPandas(_file, FILED)
-    found = C.materialize(filed.repartition("p").sortWithinPartitions("p", "g", "d", "t", "s")
+    found = C.materialize(filed.repartition("p").sortWithinPartitions("p", "g", "g2", "d", "t", "s")
                           .mapInPandas(_compare, FOUND), "repeat-segments")
     equal = found.filter("dup").select("d", "t", "s", "n")
     open_ = found.filter("NOT dup")

@@ -145,18 +145,25 @@ def _induce_wide(text: np.ndarray, rising: np.ndarray, size: int, first: np.ndar
 
 def permuted_lcp(text: bytes, sa: np.ndarray, most: int) -> np.ndarray:
     """For each position in text order, the length (up to ``most``) that its suffix shares
-    with the one before it in the suffix array."""
+    with the one before it in the suffix array. Eight bytes of all pairs that still agree are compared at a time."""
     n = len(sa)
     before = np.full(n, -1, np.int64)
     before[sa[1:]] = sa[:-1]
-    out, length = [0] * n, 0
-    for i, j in enumerate(before.tolist()):
-        if j < 0:
-            length = 0
-            continue
-        while length < most and i + length < n and j + length < n and text[i + length] == text[j + length]:
-            length += 1
-        out[i] = length
-        if length:
-            length -= 1
-    return np.array(out)
+    padded = np.concatenate([np.frombuffer(text, np.uint8), np.zeros(8, np.uint8)])
+    word = np.zeros(n, np.uint64)
+    for k in range(8):
+        word |= padded[k:n + k].astype(np.uint64) << np.uint64(8 * k)
+    out = np.zeros(n, np.int64)
+    at = np.flatnonzero(before >= 0)
+    limit = np.minimum(n - np.maximum(at, before[at]), most)
+    length = 0
+    while len(at):
+        x = word[at + length] ^ word[before[at] + length]
+        agree = np.full(len(at), 8, np.int64)
+        for k in range(7, -1, -1):
+            agree[(x >> np.uint64(8 * k)) & np.uint64(255) != 0] = k
+        out[at] = np.minimum(length + agree, limit)
+        length += 8
+        on = (agree == 8) & (limit > length)
+        at, limit = at[on], limit[on]
+    return out

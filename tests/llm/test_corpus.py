@@ -136,6 +136,30 @@ def test_repeated_rows_are_one_document(spark):
     assert sorted(r.n_removed for r in rows) == [0, 0, len(t)]
 
 
+def test_repeats_in_a_text_longer_than_a_piece(spark):
+    rng = random.Random(14)
+    passage = " ".join(words(rng, 40))
+    long = " ".join(rng.choices([f"w{i}" for i in range(50_000)], k=170_000)).encode()[:repeats.PIECE - 150].decode()
+    t = [passage, long + passage + " " + " ".join(words(rng, 2000)) + passage, "tail " + long[-400:] + passage[:60]]
+    assert len(t[1]) > repeats.PIECE
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in repeats.remove_repeats(docs_of(spark, t)).collect()}
+    assert got == dict(enumerate(brute_repeats(t)))
+
+
+def test_segments_that_share_no_string_are_left_out():
+    rng = random.Random(15)
+    gram = bytes(rng.choices(b"abcdef", k=repeats.GRAM))
+    h = int(repeats.grams(np.frombuffer(gram, np.uint8))[0].astype(np.int64))
+    side = lambda n, letters=b"abcdef": bytes(rng.choices(letters, k=n))
+    for back in range(repeats.SPAN):
+        a = side(68 - back) + (core := side(back) + gram + side(68 - back)) + side(back)
+        b = side(68 - back, b"ghijkl") + core + side(back, b"ghijkl")
+        rows = [(h, i, 0, 5, x) for i, x in enumerate([a, b, side(68, b"mnopqr") + gram + side(68, b"mnopqr")])]
+        assert [r[1] for r in repeats.agreeing(rows)] == [0, 1]
+        got = repeats.repeats_in(rows)
+        assert got.values.tolist() == [[1, 0, 5 + 68 - back, 1]]
+
+
 def test_line_dedup_equals_brute_force(spark):
     rng = random.Random(6)
     pool = [" ".join(words(rng, rng.randrange(1, 25), 60)) for _ in range(25)]
