@@ -1,22 +1,25 @@
-"""License scan: MinHash over text windows, then exact containment (DataFrame functions only).
+"""License scan: MinHash bands over overlapping text windows, then exact containment (DataFrame functions only).
 
 Texts and templates are sequences of words (lower case, letters and digits); their five-word
-shingles are hashed. For a template of ``s`` shingles a text has windows of ``2 s``
-shingles, one every ``s``, so that every passage as long as the template lies in one as a whole. A longer passage
-(with words put in between) can lie across them: where none of them contains the template, the windows
-at all starts are judged, by the exact share alone.
-
-A window with at least ``CONTAINED`` of the template has a Jaccard similarity of
-0.36 or more with it. Signatures have ``BANDS`` bands of one minimum each: such a window meets its template in some
-band with probability 1 - 0.64 ** BANDS (0.9999994). Two minima agree only if the
-window holds the template's minimal shingle, so signatures are computed only of windows
-that hold some shingle of the template: the others can't meet it. Windows that meet are verified by
-the exact share of the template's shingles that they contain.
+shingles are hashed. A text contains a template of ``s`` shingles where some run of ``2 s`` shingles
+holds ``CONTAINED`` or more of its distinct shingles (words may be put in between).
+
+Windows. For every template length the text has a window every ``g`` shingles (``g`` is a quarter of ``s``, rounded up),
+of ``2 s + g - 1`` shingles, so any run of ``2 s`` lies in the window of its start as a whole.
+
+Bands. Signatures have ``BANDS`` bands of one minimum each, and a window retrieves the templates of its length that have
+the same minimum in some band. A window round a containing run has a Jaccard similarity of 0.8 / 2.45 or more with the
+template, so they collide with probability 1 - 0.673 ** BANDS (0.999997) or more. The templates' band table is small and fixed, so each
+row looks it up by itself, without a shuffle. A minimum can only agree in a window that holds the shingle it comes from: signatures are
+computed for the windows that hold such a shingle, for no others, which loses no collision.
+
+Exact check. In the windows retrieved, every run that starts at a shingle of the template within the window's
+first ``g`` is judged by the share of the template's shingles it holds.
 
 Defined cases: null and blank texts and texts under five words match nothing; a template
-repeated in a document gives one row, with the place of its best (then first) window, of those every ``s`` if
-one of them contains it, else of all; repeated
-rows give one row per doc_id and template; an empty table gives an empty result.
+repeated in a document gives one row, with the place of its best (then first) run; repeated
+rows give one row per doc_id and template, rows under one doc_id are judged one by one; a template of under five words is never found;
+an empty table gives an empty result; other columns of the input are not read.
 """
 from __future__ import annotations
 
@@ -49,6 +52,15 @@ TEMPLATES = [
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
             "granted, provided that the above copyright notice and this permission notice appear in all copies."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("GPL-2.0", "GNU General Public License as published by the Free Software Foundation; either version 2 of the License"),
+    ("LGPL", "under the terms of the GNU Lesser General Public License as published by"),
+    ("AGPL", "under the terms of the GNU Affero General Public License as published by"),
+    ("BSD-3-Clause", "may be used to endorse or promote products derived from this software without specific prior written permission"),
+    ("CC0-1.0", "To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights to "
+                "this software to the public domain worldwide."),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0."),
+    ("EPL-2.0", "made available under the terms of the Eclipse Public License 2.0"),
+    ("Zlib", "In no event will the authors be held liable for any damages arising from the use of this software."),
 ]
 SPLIT = r"[^\p{L}\p{N}]+"
 
@@ -58,64 +70,70 @@ def _words(text: Column) -> Column:
     return F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(t, SPLIT))
 
 
+def _once(df: DataFrame) -> DataFrame:
+    """``df``, below which later steps move nothing: its columns are computed once, not again for each use."""
+    return df.withColumn("_once", F.monotonically_increasing_id()).filter(F.col("_once") >= 0).drop("_once")
+
+
 def with_shingles(df: DataFrame, text: str, w: str, h: str) -> DataFrame:
     """``df`` with the hash of the shingle at each word; ``text`` and the words go."""
     df = df.withColumn(w, _words(F.col(text))).drop(text)
     n = F.greatest(F.size(w) - (SHINGLE - 1), F.lit(0))
     grams = F.transform(F.slice(w, F.lit(1), n), lambda x, i: F.xxhash64(x, *[F.get(F.col(w), i + k) for k in range(1, SHINGLE)]))
-    # the row number keeps later filters above this step; pushed below, they would hash the text again for every element
-    return df.withColumns({h: grams, h + "_row": F.monotonically_increasing_id()}).drop(w).filter(F.col(h + "_row") >= 0).drop(h + "_row")
-
-
-def _minimum(h: Column, band: int) -> Column:
-    return F.array_min(F.transform(h, lambda x: F.xxhash64(x, F.lit(band))))
+    return _once(df.withColumn(h, grams).drop(w))
 
 
-def _minima(h: Column) -> list[Column]:
-    return [_minimum(h, b) for b in range(BANDS)]
+def _signature(h: Column) -> Column:
+    """Per band the least hash of the shingles."""
+    return F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.array_min(F.transform(h, lambda x: F.xxhash64(x, b))))
 
 
 @functools.cache
 def _hashed(spark: SparkSession, templates: tuple) -> list:
-    df = spark.createDataFrame([(i, k, t) for i, (k, t) in enumerate(templates)], "no int, license string, text string")
+    """Per template: its number, distinct shingles, length ``s``, band minima, and the shingles they come from."""
+    df = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(templates)], "no int, text string")
     df = with_shingles(df, "text", "w", "h").filter(F.size("h") > 0)
-    return df.select("no", "license", F.size("h").alias("s"), F.array_distinct("h").alias("h"), F.array(*_minima(F.col("h"))).alias("m")).collect()
+    df = df.select("no", F.size("h").alias("s"), F.array_distinct("h").alias("h")).withColumn("m", _signature(F.col("h")))
+    source = F.transform("m", lambda m, b: F.filter("h", lambda x: F.xxhash64(x, b) == m))
+    return df.withColumn("keys", F.array_distinct(F.flatten(source))).collect()
 
 
 def scan(docs: DataFrame, templates=tuple(TEMPLATES)) -> DataFrame:
     """(doc_id, license, template, start, shared, n_shingles): the templates found, ``start`` the
-    first word of the best window, ``shared`` of the template's ``n_shingles`` distinct shingles in it."""
+    first word of the best run, ``shared`` of the template's ``n_shingles`` distinct shingles in it."""
     known = _hashed(docs.sparkSession, tuple(templates))
     longs = lambda xs: F.array(*[F.lit(x) for x in xs])
-    t = F.array(*[F.struct(F.lit(r.no).alias("no"), F.lit(r.s).alias("s"), longs(r.h).alias("h"), longs(r.m).alias("m")) for r in known])
-    any_ = [x for r in known for x in r.h]
+    lengths = sorted({r.s for r in known})
+    by_length = F.array(*[F.struct(
+        F.lit(s).alias("s"), F.lit(-(-s // 4)).alias("g"), longs(sorted({x for r in known if r.s == s for x in r["keys"]})).alias("keys"),
+        F.array(*[F.struct(F.lit(r.no).alias("no"), longs(r.h).alias("h"), longs(r.m).alias("m")) for r in known if r.s == s]).alias("t"))
+        for s in lengths])
+    keys = sorted({x for r in known for x in r["keys"]})
     df = with_shingles(docs.select("doc_id", "text"), "text", "w", "h")
-    df = df.withColumn("at", F.filter(F.transform("h", lambda x, i: F.when(x.isin(any_), i)), lambda i: i.isNotNull())).filter(F.size("at") > 0)
-    # per template the positions of its shingles, where there are enough of them to contain it
-    df = df.withColumn("per", F.transform(t, lambda x: F.struct(
-        x.alias("t"), F.filter("at", lambda q: F.array_contains(x["h"], F.get(F.col("h"), q))).alias("q"))))
-    df = df.select("doc_id", "h", F.explode(F.filter("per", lambda x: 5 * F.size(x["q"]) >= 4 * F.size(x["t"]["h"]))).alias("x"))
-    df = df.select("doc_id", "h", "x.t", "x.q").withColumn("n_shingles", F.size("t.h"))
-    s, least = F.col("t.s"), F.ceil(4 * F.col("n_shingles") / 5).cast("int")
-    # windows every s shingles that hold some of them; one equal minimum of a banded signature makes a candidate
-    k = F.filter(F.array_distinct(F.flatten(F.transform("q", lambda q: F.array(F.floor(q / s), F.floor(q / s) - 1)))), lambda k: k >= 0)
-    df = df.withColumn("wins", F.transform(k, lambda k: F.struct(
-        (k * s).cast("int").alias("start"), F.slice("h", (k * s).cast("int") + 1, 2 * s).alias("h"))))
-    bands = F.sequence(F.lit(0), F.lit(BANDS - 1))
-    df = df.withColumn("grid", F.transform(
-        F.filter("wins", lambda w: F.exists(bands, lambda b: F.get(F.col("t.m"), b) == F.array_min(
-            F.transform(w["h"], lambda x: F.xxhash64(x, b))))),
-        lambda w: F.struct(F.size(F.array_intersect(w["h"], F.col("t.h"))).alias("shared"), (-w["start"]).alias("neg"))))
-    # a passage may lie across all of those: then every start counts. The best window can begin at a shingle of the
-    # template; only windows with enough of them, counted by their positions, are looked into
-    full = F.transform("q", lambda q, j: F.when(F.get(F.col("q"), j + least - 1) < q + 2 * s, F.struct(
-        F.size(F.array_distinct(F.transform(F.filter(F.slice("q", j + 1, 2 * s), lambda p: p < q + 2 * s),
-                                            lambda p: F.get(F.col("h"), p)))).alias("shared"), (-q).alias("neg"))))
-    top = lambda ws: F.array_max(F.filter(ws, lambda w: w["shared"] >= least))
-    df = df.withColumn("g", top(F.col("grid"))).withColumn("on_grid", F.col("g").isNotNull())
-    df = df.withColumn("b", F.when(F.col("on_grid"), F.col("g")).otherwise(top(full))).filter(F.col("b").isNotNull())
-    best = df.groupBy("doc_id", F.col("t.no").alias("template"), "n_shingles").agg(
-        F.max(F.struct("on_grid", F.col("b.shared").alias("shared"), F.col("b.neg").alias("neg"))).alias("b"))
+    df = df.withColumn("at", F.filter(F.transform("h", lambda x, i: F.when(x.isin(keys), i)), lambda i: i.isNotNull()))
+    df = _once(df).filter(F.size("at") > 0)
+    # per template length the windows that hold the source of a minimum
+    window = lambda c: 2 * c["s"] + c["g"] - 1
+    starts = lambda c, p: F.sequence(
+        F.greatest(F.ceil((p - window(c) + 1) / c["g"]), F.lit(0)).cast("int"), F.floor(p / c["g"]).cast("int"))
+    hits = lambda c: F.filter("at", lambda p: F.array_contains(c["keys"], F.get(F.col("h"), p)))
+    df = df.withColumn("wins", F.flatten(F.transform(by_length, lambda c: F.transform(
+        F.array_distinct(F.flatten(F.transform(hits(c), lambda p: starts(c, p)))), lambda k: F.struct(
+            c["s"].alias("s"), c["g"].alias("g"), c["t"].alias("t"), (k * c["g"]).alias("start"),
+            F.slice("h", k * c["g"] + 1, window(c)).alias("h"))))))
+    df = _once(df.select("doc_id", "wins")).select("doc_id", F.explode("wins").alias("x")).select("doc_id", "x.*")
+    df = _once(df.withColumn("m", _signature(F.col("h"))))
+    # an equal minimum in some band retrieves a template
+    df = df.select("doc_id", "s", "g", "start", "h", F.explode(F.filter("t", lambda t: F.exists(
+        F.zip_with(t["m"], "m", lambda a, b: a == b), lambda e: e))).alias("t"))
+    # the runs that start at a shingle of the template in the window's first g
+    df = df.withColumn("runs", F.filter(
+        F.transform(F.slice("h", F.lit(1), F.col("g")), lambda x, a: F.when(F.array_contains("t.h", x), F.struct(
+            F.size(F.array_intersect(F.slice("h", a + 1, 2 * F.col("s")), F.col("t.h"))).alias("shared"),
+            (-(F.col("start") + a)).alias("neg")))),
+        lambda r: 5 * r["shared"] >= 4 * F.size("t.h")))
+    df = _once(df.select("doc_id", F.col("t.no").alias("template"), F.size("t.h").alias("n_shingles"), F.array_max("runs").alias("b")))
+    best = (df.filter(F.col("b").isNotNull()).groupBy("doc_id", "template", "n_shingles").agg(F.max("b").alias("b")))
     name = F.element_at(F.array(*[F.lit(k) for k, _ in templates]), F.col("template") + 1)
     return best.select("doc_id", name.alias("license"), "template", (-F.col("b.neg")).alias("start"), F.col("b.shared").alias("shared"), "n_shingles")
 
@@ -129,13 +147,13 @@ WITH t AS (SELECT * FROM (VALUES {rows}) AS v(template, license, text)),
 tw AS (SELECT template, license, {words} AS w FROM t),
 tg AS (SELECT template, license, len(w) - 4 AS s, {grams} FROM tw),
 tn AS (SELECT template, license, s, count(DISTINCT g) AS n FROM tg GROUP BY ALL),
-d AS (SELECT doc_id, {words} AS w FROM documents),
-dg AS (SELECT doc_id, {grams} FROM d WHERE len(w) >= 5),
-hit AS (SELECT DISTINCT dg.doc_id, x.template, x.s, dg.g, dg.q FROM dg JOIN tg x ON dg.g = x.g),
-win AS (SELECT doc_id, template, q // s - b AS k, count(DISTINCT g) AS shared, s
-        FROM hit, (SELECT unnest([0, 1]) AS b) WHERE q // s - b >= 0 GROUP BY ALL),
-ok AS (SELECT win.*, license, n FROM win JOIN tn ON tn.template = win.template WHERE 5 * shared >= 4 * n)
-SELECT doc_id, license, template, CAST(arg_min(k * s, -shared * 1000000000 + k * s) AS INTEGER) AS start,
+d AS (SELECT row_number() OVER () AS r, doc_id, {words} AS w FROM documents),
+dg AS (SELECT r, doc_id, {grams} FROM d WHERE len(w) >= 5),
+hit AS (SELECT DISTINCT dg.r, dg.doc_id, x.template, x.s, dg.g, dg.q FROM dg JOIN tg x ON dg.g = x.g),
+run AS (SELECT a.r, a.doc_id, a.template, a.q, count(DISTINCT b.g) AS shared
+        FROM hit a JOIN hit b ON a.r = b.r AND a.template = b.template AND b.q >= a.q AND b.q < a.q + 2 * a.s GROUP BY ALL),
+ok AS (SELECT run.*, license, n FROM run JOIN tn ON tn.template = run.template WHERE 5 * shared >= 4 * n)
+SELECT doc_id, license, template, CAST(arg_min(q, -shared * 1000000000 + q) AS INTEGER) AS start,
        CAST(max(shared) AS INTEGER) AS shared, CAST(n AS INTEGER) AS n_shingles
 FROM ok GROUP BY doc_id, license, template, n
 """

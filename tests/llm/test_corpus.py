@@ -5,6 +5,7 @@ import hashlib
 import os
 import random
 import unicodedata
+import zlib
 
 import duckdb
 import numpy as np
@@ -308,6 +309,35 @@ def test_toxicity_learns_and_ignores_the_held_out(spark):
     assert toxicity.fit(["a"], [1]).scores(["a"])[0] == 0.5
 
 
+def test_toxicity_bags_are_packed_and_bounded():
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 8191, 8192, 100_000, toxicity.BUCKETS):
+        b = np.sort(rng.choice(toxicity.BUCKETS, n, replace=False))
+        assert len(toxicity.pack(b)) <= toxicity.BUCKETS // 8 and np.array_equal(toxicity.unpack(toxicity.pack(b)), b)
+    bags, y = [np.arange(10)] * 12, [0] * 8 + [1] * 4
+    assert sorted(toxicity.bounded(bags, y, 10_000).tolist()) == list(range(12))
+    assert sorted(toxicity.bounded(bags, y, 60).tolist()) == [0, 1, 2, 3, 8, 9]
+    assert toxicity.bounded([], [], 5).tolist() == []
+
+
+def test_toxicity_long_texts_teach_and_odd_tables(spark):
+    rng = random.Random(13)
+    t = [" ".join(words(rng, 60) + (["idiot", "moron"] if i % 3 == 0 else []) + words(rng, 5500 if i < 60 else 10)) for i in range(120)]
+    assert all(len(x) > 20_000 for x in t[:60])
+    odd = lambda df: df.withColumns({c: F.lit("x") for c in ("y", "_id", "toxic", "score", "held_out", "bag", "_h")})
+    docs = odd(docs_of(spark, [*t, t[0], None, ""], ids=[*range(120), 0, 120, 121]))
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(60)] + [(1, 0), (None, 1), (120, 1)], "doc_id long, toxic int").withColumn("text", F.lit("z"))
+    rows = toxicity.sample(docs, labels).collect()
+    want = {(i, int(i % 3 == 0)) for i in range(60) if zlib.crc32(str(i).encode()) % 5}
+    assert {(r.doc_id, r.toxic) for r in rows} == want and len(rows) == len(want)
+    assert all(np.array_equal(toxicity.unpack(r.bag), toxicity.bag(t[r.doc_id])) for r in rows)
+    got = toxicity.toxicity(docs, labels).collect()
+    assert len(got) == 123 and len({r.score for r in got if r.doc_id == 0}) == 1
+    assert len({r.score for r in got if r.doc_id in (120, 121)}) == 1
+    assert toxicity.toxicity(docs.limit(0), labels).count() == 0
+    assert {r.score for r in toxicity.toxicity(docs, labels.limit(0)).collect()} == {0.5}
+
+
 def test_archives_round_trip(spark, scratch):
     html = ["<p>" + "é" * 60 + "</p>", "x" * 100, "x" * 100, "small", "small", None, "a\r\n\r\nWARC/1.1\r\nx" + "y" * 200, "x" * 100]
     pages = spark.createDataFrame([(10 - i, f"http://h/{i} b" if i else None, h) for i, h in enumerate(html)] + [(None, "u", "x" * 100)],
@@ -501,6 +531,32 @@ def test_license_passages_across_windows(spark):
         assert r.shared == len(set(grams(split(texts[r.doc_id]))[r.start:r.start + 2 * len(known)]) & set(known))
 
 
+def test_license_runs_equal_the_sql(spark):
+    rng = random.Random(18)
+    split = lambda x: x.split()
+    t = [None, "", "the MIT License", "Released under the MIT License. " * 3]
+    for no, (_, x) in enumerate(licenses.TEMPLATES):
+        w = split(x)
+        for lead in (0, 1, 2, 7):
+            t.append(" ".join(words(rng, lead) + w))                                       # ends the text
+            cut = rng.randrange(len(w))
+            t.append(" ".join(words(rng, lead) + w[:cut] + words(rng, rng.randrange(len(w))) + w[cut:] + words(rng, 20)))
+        t.append(" ".join(w[:-3] + words(rng, 30) + w + words(rng, 9) + w))                # best, then first
+        t.append(x.upper() + "\n" + licenses.TEMPLATES[no - 1][1])
+    docs = docs_of(spark, [*t, t[5]], ids=[*range(len(t)), 5]).withColumns({c: F.lit(7) for c in ("h", "s", "g", "m", "start", "t", "at", "template")})
+    con = duckdb.connect()
+    con.register("documents", docs.toPandas())
+    cols = "doc_id, license, template, start, shared, n_shingles"
+    want = con.execute(f"SELECT {cols} FROM ({licenses.oracle()})").fetchall()
+    got = [tuple(r) for r in licenses.scan(docs).select(*cols.split(", ")).collect()]
+    assert sorted(got) == sorted(want) and {r[2] for r in got} == set(range(len(licenses.TEMPLATES)))
+    empty = spark.createDataFrame([], docs.schema)
+    assert licenses.scan(empty).count() == 0
+    long = docs_of(spark, [" ".join(" ".join(words(rng, 5000)) + " " + x for _, x in licenses.TEMPLATES)])
+    got = {r.template: (r.start, r.shared) for r in licenses.scan(long).collect()}
+    assert set(got) == set(range(len(licenses.TEMPLATES))) and got[0] == (5000, 1)
+
+
 def test_toxicity_tells_a_few_words_in_long_texts():
     rng = random.Random(12)
     t = [" ".join(words(rng, 400) + (["idiot"] * 2 if i % 4 == 0 else [])) for i in range(200)]
