@@ -8,16 +8,17 @@ its texts agree, and a few telling words stand out among many that occur in eith
 per bucket would let these learn the texts by heart); the small softmax takes Adam steps. A misspelt word
 shares most of its n-grams with the word it comes from, so it need not have been seen.
 
-The model is fitted on at most ``MAX_TOXIC`` and ``MAX_CLEAN`` labelled texts, each of at
-most ``MAX_TRAIN_CHARS`` characters (which bounds what the driver holds), those
-first in the order of a hash of their id. Scoring covers every text as a whole.
+The model is fitted on the bags of at most ``MAX_TOXIC`` and ``MAX_CLEAN`` labelled documents, those
+first in the order of a hash of their id, whatever the length of their texts: bags are made of whole texts inside the tasks, and
+one takes 32 KB at most (144 MB in all). Of these, so many of both kinds are fitted on, in the same order, that their bags hold no more than
+``MAX_ENTRIES`` n-grams together. Scoring covers every text as a whole.
 
 As the softmax is linear, its logit is an average of one number per bucket: only
 that table (1 MB) is broadcast.
 
 Defined cases: null, empty and blank texts have no n-grams and get the score of
 the bias alone; rows without a label or with a null label teach nothing; with no usable label
-of both kinds every score is 0.5; repeated rows are scored alike; an empty
+of both kinds every score is 0.5; repeated rows are scored alike, and of several texts under one doc_id one teaches; an empty
 table gives an empty result.
 """
 from __future__ import annotations
@@ -42,7 +43,7 @@ RATE = 0.05                   # Adam, softmax
 EMB_RATE = 100.0              # gradient steps, embeddings; an average over a text has small gradients
 MAX_TOXIC = 1500
 MAX_CLEAN = 3000
-MAX_TRAIN_CHARS = 20_000
+MAX_ENTRIES = 16_000_000      # n-grams in the bags fitted on
 FOLDS = 5
 PIECE = 1 << 18               # bytes of a text hashed together
 
@@ -79,6 +80,21 @@ def bag(text: str | None) -> np.ndarray:
     return np.flatnonzero(met)
 
 
+def pack(b: np.ndarray) -> bytes:
+    """A bag as a list of buckets or, where that is shorter, as one bit per bucket."""
+    if 4 * len(b) < BUCKETS // 8:
+        return b.astype("<u4").tobytes()
+    met = np.zeros(BUCKETS, bool)
+    met[b] = True
+    return np.packbits(met).tobytes()
+
+
+def unpack(raw: bytes) -> np.ndarray:
+    if len(raw) < BUCKETS // 8:
+        return np.frombuffer(raw, "<u4").astype(np.int64)
+    return np.flatnonzero(np.unpackbits(np.frombuffer(raw, np.uint8)))
+
+
 class Model:
     """``slope``: per bucket its share of the logit; ``weight``: per bucket its rarity; ``bias``."""
 
@@ -95,11 +111,14 @@ class Model:
 
 
 def fit(texts: list, labels: list[int], seed: int = 11) -> Model:
+    return fit_bags([bag(t) for t in texts], labels, seed)
+
+
+def fit_bags(seen: list[np.ndarray], labels: list[int], seed: int = 11) -> Model:
     y = np.array(labels, np.int64)
     if len(set(labels)) < 2:
         return Model(np.zeros(BUCKETS, np.float32), np.ones(BUCKETS, np.float32), 0.0)
     rng = np.random.default_rng(seed)
-    seen = [bag(t) for t in texts]
     df = np.zeros(BUCKETS)
     for b in seen:
         df[b] += 1
@@ -161,20 +180,37 @@ def remainder(doc_id):
 
 
 def sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(text, toxic): the bounded sample of labelled texts outside the held-out fold."""
+    """(doc_id, toxic, bag): the bounded sample of labelled documents outside the held-out fold."""
+    docs = docs.select("doc_id", "text")
     known = (labels.filter(F.col("toxic").isin(0, 1) & (remainder(F.col("doc_id")) != 0))
              .select(F.col("doc_id").alias("_id"), F.col("toxic").alias("y")))
-    fit_ = docs.filter(F.length("text") <= MAX_TRAIN_CHARS).select("doc_id", F.length("text").alias("n"))
-    ids = fit_.join(known, F.col("doc_id") == F.col("_id")).select("doc_id", "y").distinct()
+    ids = docs.filter("text IS NOT NULL").select("doc_id").join(known, F.col("doc_id") == F.col("_id")).select("doc_id", "y").distinct()
     by_hash = lambda y, most: ids.filter(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
     chosen = C.materialize(by_hash(0, MAX_CLEAN).union(by_hash(1, MAX_TOXIC)), "tox-sample").withColumnRenamed("doc_id", "_id")
-    return (docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
-            .filter(F.length("text") <= MAX_TRAIN_CHARS).select("doc_id", "text", F.col("y").alias("toxic")))
+
+    def bags(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "toxic": pdf["y"], "bag": [pack(bag(t)) for t in pdf["text"]]})
+
+    taught = docs.filter("text IS NOT NULL").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("doc_id", F.col("y").cast("int"), "text")
+    return taught.mapInPandas(bags, "doc_id long, toxic int, bag binary").groupBy("doc_id", "toxic").agg(F.min("bag").alias("bag"))
+
+
+def bounded(bags: list[np.ndarray], labels: list[int], most: int) -> np.ndarray:
+    """The numbers of the first bags of each kind, as large a share of both, that hold ``most`` n-grams together."""
+    y = np.array(labels, np.int64)
+    rank = np.zeros(len(y))
+    for v in (0, 1):
+        rank[y == v] = (np.arange((y == v).sum()) + 0.5) / max((y == v).sum(), 1)
+    order = np.argsort(rank, kind="stable")
+    return order[np.cumsum([len(bags[i]) for i in order]) <= most] if len(order) else order
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:
-    rows = sorted(sample(docs, labels).collect(), key=lambda r: (r.doc_id, r.toxic, r.text))
-    return fit([r.text for r in rows], [int(r.toxic) for r in rows])
+    rows = sample(docs, labels).withColumn("_h", F.xxhash64("doc_id")).orderBy("_h", "doc_id", "toxic").collect()
+    seen, y = [unpack(r.bag) for r in rows], [int(r.toxic) for r in rows]
+    use = bounded(seen, y, MAX_ENTRIES).tolist()
+    return fit_bags([seen[i] for i in use], [y[i] for i in use])
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
