@@ -45,7 +45,7 @@ SPAN = LENGTH - GRAM + 1       # grams in a string
 PIECE = 1 << 20                # bytes hashed together
 SHARD = 1 << 20                # bytes in a suffix array
 MOST = 8192                    # segments of a minimizer in a shard
-STEP = 17                      # windows around a minimizer start every STEP bytes
+STEP = 9                       # windows around a minimizer start every STEP bytes
 CORE = LENGTH - STEP + 1       # bytes of them: any string with the minimizer holds one as a whole
 _U = np.uint64
 _P = 0x9E3779B97F4A7C15
@@ -55,9 +55,12 @@ _LAST = 2 ** 63 - 1
 
 
 def _mix64(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> _U(27))) * _U(0x94D049BB133111EB)
-    return x ^ (x >> _U(31))
+    x = x ^ (x >> _U(30))
+    x *= _U(0xBF58476D1CE4E5B9)
+    x ^= x >> _U(27)
+    x *= _U(0x94D049BB133111EB)
+    x ^= x >> _U(31)
+    return x
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -85,7 +88,9 @@ def grams(data: np.ndarray) -> np.ndarray:
     """The hash of the ``GRAM`` bytes from each place on, by doubling."""
     h, width = _BYTE[data], 1
     while width < GRAM:
-        h = h[:-width] * _U(pow(_P, width, 2 ** 64)) + h[width:]
+        left = h[:-width] * _U(pow(_P, width, 2 ** 64))
+        left += h[width:]
+        h = left
         width *= 2
     return _mix64(h)
 
@@ -98,7 +103,8 @@ def segments(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np
     if n <= 0:
         return empty, *[empty.view(np.uint64)] * 3, empty, empty
     h = grams(data)
-    v = (h & ~_U(2 ** 24 - 1)) | np.arange(len(h), dtype=np.uint64)
+    v = h & ~_U(2 ** 24 - 1)
+    v |= np.arange(len(h), dtype=np.uint64)
     width = 1
     while 2 * width <= SPAN:
         v = np.minimum(v[:-width], v[width:])
@@ -117,7 +123,7 @@ def segments(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np
     count = np.diff(np.append(lo, len(at)))
     begin, piece = first[lo], piece[lo]
     end = begin + count + LENGTH - 1
-    return (piece, h[at[lo]], digest(sums(_BYTE[data]), begin, end), digest(sums(_mix64(h)), begin, end - GRAM + 1),
+    return (piece, h[at[lo]], digest(sums(_BYTE[data]), begin, end), digest(sums(h), begin, end - GRAM + 1),
             begin - starts[piece], count)
 
 
@@ -162,7 +168,7 @@ def _file(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             who, off = np.array(who), np.array(off)
             out = pd.DataFrame({"h": h.view(np.int64), "g": g.view(np.int64), "g2": g2.view(np.int64),
                                 "d": d[who[piece]], "t": t[who[piece]], "s": s + off[piece], "n": n.astype(np.int32)})
-            out = out.sort_values(["h", "g", "g2", "d", "t", "s"], kind="stable")
+            out = out.sort_values(["d", "t", "s"], kind="stable")
             twin = out.duplicated(["h", "g", "g2"])
             same = out.duplicated(["h", "g", "g2", "d", "t", "s"])
             out["dup"] = twin

@@ -153,15 +153,16 @@ def permuted_lcp(text: bytes, sa: np.ndarray, most: int) -> np.ndarray:
     word = np.zeros(n, np.uint64)
     for k in range(8):
         word |= padded[k:n + k].astype(np.uint64) << np.uint64(8 * k)
+    bits = np.uint64(1) << np.arange(0, 64, 8, dtype=np.uint64)
     out = np.zeros(n, np.int64)
     at = np.flatnonzero(before >= 0)
     limit = np.minimum(n - np.maximum(at, before[at]), most)
     length = 0
     while len(at):
         x = word[at + length] ^ word[before[at] + length]
-        agree = np.full(len(at), 8, np.int64)
-        for k in range(7, -1, -1):
-            agree[(x >> np.uint64(8 * k)) & np.uint64(255) != 0] = k
+        low = x & (~x + np.uint64(1))                          # the lowest bit that differs
+        agree = np.searchsorted(bits, low, side="right") - 1
+        agree[x == 0] = 8
         out[at] = np.minimum(length + agree, limit)
         length += 8
         on = (agree == 8) & (limit > length)
