@@ -3,6 +3,10 @@
 Each stage takes (spark, docs, sf_dir) and works on all that the stage before
 kept. The last one gives, per document left, its size, its source's size and target, and
 the words that the mix takes of it.
+
+Defined cases: null and blank texts and texts of under 50 words go in the first stage; equal rows are one document
+from near-dedup on; null sources are one source; null languages one language; all stages but the last keep extra
+columns, whatever their names; an empty table gives an empty result.
 """
 from __future__ import annotations
 
