@@ -117,14 +117,15 @@ def scan(docs: DataFrame, templates=tuple(TEMPLATES)) -> DataFrame:
     starts = lambda c, p: F.sequence(
         F.greatest(F.ceil((p - window(c) + 1) / c["g"]), F.lit(0)).cast("int"), F.floor(p / c["g"]).cast("int"))
     hits = lambda c: F.filter("at", lambda p: F.array_contains(c["keys"], F.get(F.col("h"), p)))
-    df = df.withColumn("wins", F.flatten(F.transform(by_length, lambda c: F.transform(
+    df = df.withColumn("wins", F.flatten(F.transform(by_length, lambda c, no: F.transform(
         F.array_distinct(F.flatten(F.transform(hits(c), lambda p: starts(c, p)))), lambda k: F.struct(
-            c["s"].alias("s"), c["g"].alias("g"), c["t"].alias("t"), (k * c["g"]).alias("start"),
+            no.alias("no"), (k * c["g"]).alias("start"),
             F.slice("h", k * c["g"] + 1, window(c)).alias("h"))))))
     df = _once(df.select("doc_id", "wins")).select("doc_id", F.explode("wins").alias("x")).select("doc_id", "x.*")
     df = _once(df.withColumn("m", _signature(F.col("h"))))
     # an equal minimum in some band retrieves a template
-    df = df.select("doc_id", "s", "g", "start", "h", F.explode(F.filter("t", lambda t: F.exists(
+    of = lambda field: F.get(by_length, F.col("no"))[field]
+    df = df.select("doc_id", of("s").alias("s"), of("g").alias("g"), "start", "h", F.explode(F.filter(of("t"), lambda t: F.exists(
         F.zip_with(t["m"], "m", lambda a, b: a == b), lambda e: e))).alias("t"))
     # the runs that start at a shingle of the template in the window's first g
     df = df.withColumn("runs", F.filter(
