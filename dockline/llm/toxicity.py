@@ -43,7 +43,7 @@ RATE = 0.05                   # Adam, softmax
 EMB_RATE = 100.0              # gradient steps, embeddings; an average over a text has small gradients
 MAX_TOXIC = 1500
 MAX_CLEAN = 3000
-MAX_ENTRIES = 16_000_000      # n-grams in the bags fitted on
+MAX_ENTRIES = 8_000_000       # n-grams in the bags fitted on
 FOLDS = 5
 PIECE = 1 << 18               # bytes of a text hashed together
 
@@ -91,8 +91,8 @@ def pack(b: np.ndarray) -> bytes:
 
 def unpack(raw: bytes) -> np.ndarray:
     if len(raw) < BUCKETS // 8:
-        return np.frombuffer(raw, "<u4").astype(np.int64)
-    return np.flatnonzero(np.unpackbits(np.frombuffer(raw, np.uint8)))
+        return np.frombuffer(raw, "<u4").astype(np.int32)
+    return np.flatnonzero(np.unpackbits(np.frombuffer(raw, np.uint8))).astype(np.int32)
 
 
 class Model:
@@ -115,6 +115,7 @@ def fit(texts: list, labels: list[int], seed: int = 11) -> Model:
 
 
 def fit_bags(seen: list[np.ndarray], labels: list[int], seed: int = 11) -> Model:
+    """The model of these bags; the list is emptied as they are read into batches."""
     y = np.array(labels, np.int64)
     if len(set(labels)) < 2:
         return Model(np.zeros(BUCKETS, np.float32), np.ones(BUCKETS, np.float32), 0.0)
@@ -140,6 +141,7 @@ def fit_bags(seen: list[np.ndarray], labels: list[int], seed: int = 11) -> Model
             doc.append(np.full(keep.sum(), r))
             idx.append(b[keep])
             val.append((w / w.sum())[keep] if len(w) else w)
+            seen[i] = None                                     # its n-grams are in the batch now
         doc, idx, val = np.concatenate(doc).astype(np.int32), np.concatenate(idx).astype(np.int32), np.concatenate(val).astype(np.float32)
         by = np.argsort(idx, kind="stable").astype(np.int32)
         used, first = np.unique(idx[by], return_index=True)
@@ -207,10 +209,14 @@ def bounded(bags: list[np.ndarray], labels: list[int], most: int) -> np.ndarray:
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:
-    rows = sample(docs, labels).withColumn("_h", F.xxhash64("doc_id")).orderBy("_h", "doc_id", "toxic").collect()
-    seen, y = [unpack(r.bag) for r in rows], [int(r.toxic) for r in rows]
+    rows = sample(docs, labels).withColumn("_h", F.xxhash64("doc_id")).orderBy("_h", "doc_id", "toxic").toLocalIterator()
+    seen, y = [], []
+    for r in rows:
+        seen.append(unpack(r.bag))
+        y.append(int(r.toxic))
     use = bounded(seen, y, MAX_ENTRIES).tolist()
-    return fit_bags([seen[i] for i in use], [y[i] for i in use])
+    seen, y = [seen[i] for i in use], [y[i] for i in use]
+    return fit_bags(seen, y)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
