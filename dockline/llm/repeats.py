@@ -43,7 +43,7 @@ LENGTH = 100
 GRAM = 32
 SPAN = LENGTH - GRAM + 1       # grams in a string
 PIECE = 1 << 20                # bytes hashed together
-SHARD = 1 << 20                # bytes in a suffix array
+SHARD = 1 << 19                # bytes in a suffix array
 MOST = 8192                    # segments of a minimizer in a shard
 STEP = 9                       # windows around a minimizer start every STEP bytes
 CORE = LENGTH - STEP + 1       # bytes of them: any string with the minimizer holds one as a whole
@@ -69,7 +69,7 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.cumprod(p, dtype=np.uint64)
 
 
-_ROOM = 2 * PIECE + SHARD + MOST * (LENGTH + SPAN)   # the longest piece or shard
+_ROOM = max(2 * PIECE + LENGTH, SHARD + MOST * (LENGTH + SPAN))   # the longest piece or shard
 _UP, _DOWN = _powers(_P, _ROOM), _powers(_PINV, _ROOM)
 
 
