@@ -50,29 +50,30 @@ PAGE_FIELD = "X-Page-Id"
 FIRST_DATE = 1_600_000_000         # the pages carry no date of their own; theirs follow from their id
 
 
-def _dealt(df: DataFrame, size: str) -> DataFrame:
-    """``df`` over as many partitions as keep each at about FILE_BYTES."""
-    total = df.agg(F.sum(size)).first()[0] or 0
-    return df.repartition(int(total // FILE_BYTES) + 1)
-
-
 def export_arc(pages: DataFrame, path: str, version: str | None = None) -> None:
-    """Write page_id, url, html as gzipped ARC files, of ``version`` or of either in turn."""
+    """Write page_id, url, html as gzipped ARC files, of ``version`` or of either in turn. A task packs its pages
+    into archives where they are; a row of the result is a whole archive and becomes a file, so nothing is shuffled."""
     from pyspark import TaskContext
 
-    def records(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        number = TaskContext.get().partitionId()
-        v = version or "12"[number % 2]
-        name = f"pages-{number:06d}.arc"
-        head = f"{v} 0 dockline\n{ARC_NAMES[v]}\n"
+    def archives(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        task, made, out, held = TaskContext.get().partitionId(), 0, [], 0
         date = "20200913122640"
-        if v == "1":
-            yield pd.DataFrame({"value": [f"filedesc://{name} 0.0.0.0 {date} text/plain {len(head)}\n{head}"]})
-        else:
-            yield pd.DataFrame({"value": [f"filedesc://{name} 0.0.0.0 {date} text/plain 200 - - 0 {name} {len(head)}\n{head}"]})
+
+        def begun() -> tuple[str, str]:
+            v = version or "12"[(task + made) % 2]
+            name = f"pages-{task:06d}-{made:06d}.arc"
+            head = f"{v} 0 dockline\n{ARC_NAMES[v]}\n"
+            more = "" if v == "1" else f"200 - - 0 {name} "
+            out.append(f"filedesc://{name} 0.0.0.0 {date} text/plain {more}{len(head)}\n{head}")
+            return v, name
+
+        v, name = begun()
         for pdf in batches:
-            out = []
             for page, url, html in zip(pdf["page_id"].astype("Int64"), pdf["url"], pdf["html"]):
+                if held >= FILE_BYTES:
+                    yield pd.DataFrame({"value": ["\n".join(out)]})
+                    made, out, held = made + 1, [], 0
+                    v, name = begun()
                 html, known = html or "", page is not pd.NA
                 size = len(html.encode("utf-8", "surrogatepass"))
                 url = re.sub(r"\s", lambda m: "".join(f"%{b:02X}" for b in m[0].encode()), (url or "").strip()) or f"urn:page:{page if known else ''}"
@@ -82,11 +83,12 @@ def export_arc(pages: DataFrame, path: str, version: str | None = None) -> None:
                 n = len(front) + size
                 line = f"{url} 0.0.0.0 {when} text/html {n}" if v == "1" else f"{url} 0.0.0.0 {when} text/html 200 - - 0 {name} {n}"
                 out.append(f"{line}\n{front}{html}")
-            yield pd.DataFrame({"value": out})
+                held += n
+        yield pd.DataFrame({"value": ["\n".join(out)]})
 
-    sized = pages.select("page_id", "url", "html", F.coalesce(F.octet_length("html"), F.lit(0)).alias("n"))
-    (_dealt(sized, "n").mapInPandas(records, "value string")
-     .write.option("lineSep", "\n").option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").text(path))
+    (pages.select("page_id", "url", "html").mapInPandas(archives, "value string")
+     .write.option("maxRecordsPerFile", 1).option("lineSep", "\n").option("compression", "gzip")
+     .option("zlib.compress.level", "BEST_SPEED").text(path))
 
 
 def _unpacked(content: bytes) -> bytes:

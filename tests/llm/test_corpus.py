@@ -356,6 +356,18 @@ def test_archives_round_trip(spark, scratch):
     assert archive.round_trip(pages.limit(0), scratch + "/e").count() == 0
 
 
+def test_archives_are_packed_without_a_shuffle(spark, scratch, monkeypatch):
+    monkeypatch.setattr(archive, "FILE_BYTES", 2000)
+    pages = spark.createDataFrame([(i, f"http://h/{i}", "z" * (50 + 37 * i % 400)) for i in range(60)], "page_id long, url string, html string")
+    archive.export_arc(pages.coalesce(1), scratch + "/arc")
+    datas = [archive._unpacked(bytes(r.content)) for r in archive.files(spark, scratch + "/arc").collect()]
+    ids = [[int(archive.http_parts(body)[2]["x-page-id"]) for _, body in archive.arc_records(data)] for data in datas]
+    assert len(ids) > 5 and sorted(sum(ids, [])) == list(range(60)) and all(x == list(range(x[0], x[0] + len(x))) for x in ids)
+    assert len({h["archive"] for data in datas for h, _ in archive.arc_records(data)}) == len(ids)
+    got = archive.round_trip(pages, scratch + "/r").collect()
+    assert sorted(r.page_id for r in got) == list(range(60)) and all(r.intact for r in got)
+
+
 def test_damaged_arc_records_are_skipped():
     head = "1 0 o\nURL IP-address Archive-date Content-type Archive-length\n"
     ok = "http://a/x y 1.2.3.4 20200101000000 text/html 3\nabc\n"
