@@ -34,7 +34,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import common as C
@@ -46,6 +46,7 @@ BANDS, ROWS = 24, 5
 K = BANDS * ROWS
 SALTS = 6                     # kinds of representative
 CELLS = 100_000               # shingles hashed together
+MASK = 16                     # words of 64 bits in the parity bitmap of a text
 _U = np.uint64
 _MUL = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
 
@@ -168,23 +169,33 @@ def _similar(pairs: DataFrame, u: DataFrame) -> DataFrame:
     return both.filter(F.col("i") >= THRESHOLD * (F.size("ua") + F.size("ub") - F.col("i")) - 1e-9).select("a", "b")
 
 
+def _mask(u: str) -> Column:
+    """Parity bitmap of a set of hashes: each flips a bit. Two bitmaps differ in at most as many bits as the sets in elements."""
+    return F.expr(f"transform(sequence(0, {MASK - 1}), j -> aggregate({u}, 0L, (a, x) -> "
+                  f"if((shiftright(x, 6) & {MASK - 1}) = j, a ^ shiftleft(1L, cast(x & 63 as int)), a)))")
+
+
 def _across(u: DataFrame, labels: DataFrame) -> DataFrame:
     """Pairs of texts of different labels that can reach ``THRESHOLD``, by prefix filter: with the
     shingles of each text in one order, rare ones first, two texts that similar share one among
     the first ``n - ceil(THRESHOLD n) + 1``. A text edited beyond the threshold has its own
-    edits there and meets nobody, however large the group it comes from."""
+    edits there and meets nobody, however large the group it comes from. Texts edited less, but apart from each
+    other by more than the threshold, do meet; their bitmaps tell them apart inside the join."""
     one = u.select("tid", F.size("u").alias("n"), F.explode("u").alias("e"))
     often = one.groupBy("e").agg(F.count("*").alias("f"))
     first = (one.join(often, "e").groupBy("tid", "n").agg(F.sort_array(F.collect_list(F.struct("f", "e"))).alias("s"))
              .withColumn("s", F.slice("s", F.lit(1), F.col("n") - F.ceil(F.col("n") * THRESHOLD - 1e-9).cast("int") + 1))
              .select("tid", "n", F.posexplode("s").alias("p", "s")).filter("s.f > 1")
              .select("tid", "n", "p", F.col("s.e").alias("e")).join(labels, "tid"))
-    first = C.materialize(first, "near-prefix")
+    first = C.materialize(first.join(u.select("tid", _mask("u").alias("m")), "tid"), "near-prefix")
     x, y = first.alias("x"), first.alias("y")
     c = lambda n: F.col(n)
     least = THRESHOLD / (1 + THRESHOLD) * (c("x.n") + c("y.n")) - 1e-9           # shared shingles needed
+    # texts that similar differ in at most (n1 + n2) (1 - THRESHOLD) / (1 + THRESHOLD) shingles
+    most = (1 - THRESHOLD) / (1 + THRESHOLD) * (c("x.n") + c("y.n")) + 1e-9
+    apart = F.aggregate(F.zip_with(c("x.m"), c("y.m"), lambda a, b: F.bit_count(a.bitwiseXOR(b)).cast("int")), F.lit(0), lambda a, b: a + b)
     return (x.join(y, (c("x.e") == c("y.e")) & (c("x.label") < c("y.label")) & (c("x.n") >= THRESHOLD * c("y.n") - 1e-9)
-                   & (c("y.n") >= THRESHOLD * c("x.n") - 1e-9) & (F.least(c("x.n") - c("x.p"), c("y.n") - c("y.p")) >= least))
+                   & (c("y.n") >= THRESHOLD * c("x.n") - 1e-9) & (F.least(c("x.n") - c("x.p"), c("y.n") - c("y.p")) >= least) & (apart <= most))
             .select(F.least(c("x.tid"), c("y.tid")).alias("a"), F.greatest(c("x.tid"), c("y.tid")).alias("b")).distinct())
 
 

@@ -88,6 +88,18 @@ def test_leftover_classes_meet_by_prefix(spark):
     assert got == {(i, j) for j in range(30) for i in range(j) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])}
 
 
+def test_texts_apart_in_one_group_do_not_meet(spark):
+    rng = random.Random(8)
+    core = [rng.randrange(-2 ** 63, 2 ** 63) for _ in range(200)]
+    sets = [rng.sample(core, 180) + [rng.randrange(-2 ** 63, 2 ** 63) for _ in range(20)] for _ in range(50)]
+    sets += [s[:190] + [rng.randrange(-2 ** 63, 2 ** 63) for _ in range(10)] for s in sets[:5]]
+    u = spark.createDataFrame([(k, s) for k, s in enumerate(sets)], "tid long, u array<long>")
+    pairs = neardup._across(u, u.select("tid", F.col("tid").alias("label")))
+    want = {(i, j) for j in range(55) for i in range(j) if len({*sets[i]} & {*sets[j]}) >= 0.8 * len({*sets[i]} | {*sets[j]})}
+    assert {(r.a, r.b) for r in neardup._similar(pairs, u).collect()} == want and len(want) >= 5
+    assert pairs.count() <= 2 * len(want)
+
+
 def test_components(spark):
     e = spark.createDataFrame([(1, 2), (2, 3), (9, 8), (7, 9), (20, 3), (5, 5)], "a long, b long")
     assert {r.node: r.label for r in components.components(e).collect()} == {1: 1, 2: 1, 3: 1, 20: 1, 7: 7, 8: 7, 9: 7, 5: 5}
