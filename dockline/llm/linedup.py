@@ -14,11 +14,12 @@ more, judged on the input, whether or not the earlier one goes itself.
 3. Prefix filter: two sets that similar share one of their first ``n - ceil(THRESHOLD n) + 1``
    numbers. Length and position filters are part of the join's condition, and so is a bitmap
    filter: each word flips one of 64 bits, and sets that differ in k words differ in k bits
-   at most.
+   at most. Sets of over ``WIDE`` words, which fill 64 bits, carry 128 more.
 4. Each set is first compared with the earliest set that has each of its prefix words.
    That settles most: a set needs one earlier match only, so a group of near copies costs
    comparisons as its size, not as its square.
-5. Sets still undecided are joined with all earlier sets by prefix, and verified.
+5. Sets still undecided are joined with all earlier sets by prefix, and verified. Both sides of that join
+   are the same rows, shuffled once.
 
 Only prefixes are shuffled. The words of a line are taken from its document again when
 one of its pairs is verified.
@@ -38,6 +39,7 @@ from . import common as C
 THRESHOLD = 0.8
 BUCKET_BITS = 16
 HASH_BITS = 57
+WIDE = 96
 
 
 def _need(n: Column) -> Column:
@@ -81,10 +83,17 @@ def levels(texts: DataFrame) -> list[int]:
     return out
 
 
+def _mask(longs: int) -> Column:
+    """Parity bitmap of the set ``w``, 64 bits a long: two bitmaps differ in at most as many bits as the sets in words."""
+    return F.expr(f"transform(sequence(0, {longs - 1}), j -> aggregate(w, 0L, (a, x) -> "
+                  f"if((shiftright(x, 30) & {longs - 1}) = j, a ^ shiftleft(1L, cast(shiftright(x, 24) & 63 as int)), a)))")
+
+
 def prefixes(texts: DataFrame, table: list[int]) -> DataFrame:
-    """(d, t, i, n, k1, k2, b, p): per line the size, key and bitmap of its set, and its prefix, rarest words first.
+    """(d, t, i, n, k1, k2, b, m0, m1, p): per line the size, key and bitmaps of its set, and its prefix, rarest words first.
 
-    The prefix holds 32-bit hashes: words that share one cost a comparison, never a result."""
+    ``m0`` and ``m1`` are null for sets of up to ``WIDE`` words. The prefix holds 32-bit hashes: words that share one
+    cost a comparison, never a result."""
     level = F.split(F.lit(",".join(map(str, table))), ",").cast("array<int>")
 
     def number(x):
@@ -93,8 +102,10 @@ def prefixes(texts: DataFrame, table: list[int]) -> DataFrame:
     n = F.size("w")
     bits = F.expr("aggregate(w, 0L, (a, x) -> a ^ shiftleft(1L, cast(shiftright(x, 24) & 63 as int)))")
     return (lines(texts).withColumn("w", F.sort_array(F.transform("w", number)))
+            .withColumn("m", F.when(n > WIDE, _mask(2)))
             .select("d", "t", "i", n.alias("n"), F.xxhash64("w").alias("k1"), F.xxhash64(F.lit(1), F.col("w")).alias("k2"),
-                    bits.alias("b"), F.transform(F.slice("w", F.lit(1), (n - _need(n) + 1).cast("int")), lambda x: F.hash(x)).alias("p")))
+                    bits.alias("b"), F.get("m", F.lit(0)).alias("m0"), F.get("m", F.lit(1)).alias("m1"),
+                    F.transform(F.slice("w", F.lit(1), (n - _need(n) + 1).cast("int")), lambda x: F.hash(x)).alias("p")))
 
 
 def _fits(x: str, y: str) -> Column:
@@ -106,17 +117,11 @@ def _fits(x: str, y: str) -> Column:
             & (9 * F.bit_count(c(x, "b").bitwiseXOR(c(y, "b"))) <= n1 + n2))
 
 
-def _mask(w: Column) -> Column:
-    """Parity bitmap of a set, 512 bits: two bitmaps differ in at most as many bits as the sets in words."""
-    return F.expr("transform(sequence(0, 7), j -> aggregate(w, 0L, (a, x) -> "
-                  "if((shiftright(x, 30) & 7) = j, a ^ shiftleft(1L, cast(shiftright(x, 24) & 63 as int)), a)))")
-
-
 def _verified(pairs: DataFrame, sets: DataFrame, texts: DataFrame) -> DataFrame:
     """(id, other) that are similar; the words come from the documents of the lines named. A long line fills
     the bitmap of the postings, so wider ones go first: word sets are shuffled for pairs that pass these only."""
     ids = pairs.select(F.explode(F.array("id", "other")).alias("id")).distinct()
-    w = line_sets(texts, sets.select("id", "at.*").join(ids, "id")).withColumn("m", _mask(F.col("w"))).withColumn("n", F.size("w"))
+    w = line_sets(texts, sets.select("id", "at.*").join(ids, "id")).withColumn("m", _mask(8)).withColumn("n", F.size("w"))
     w = C.materialize(w, "line-words")
     side = lambda i, *cols: w.select(F.col("id").alias(i), *[F.col(c).alias(c + ("1" if i == "id" else "2")) for c in cols])
     apart = F.aggregate(F.zip_with("m1", "m2", lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("int")), F.lit(0), lambda a, x: a + x)
@@ -132,7 +137,7 @@ def matched(docs: DataFrame) -> DataFrame:
     each = C.materialize(prefixes(texts, levels(texts)), "line-prefixes")
     # one row per set, with the line it first occurs on; equal lines have equal n, b and p
     sets = each.groupBy("k1", "k2").agg(
-        F.min(F.struct("d", "t", "i")).alias("at"), F.count("*").alias("lines"), *[F.any_value(k).alias(k) for k in ("n", "b", "p")])
+        F.min(F.struct("d", "t", "i")).alias("at"), F.count("*").alias("lines"), *[F.any_value(k).alias(k) for k in ("n", "b", "m0", "m1", "p")])
     sets = C.materialize(sets.sort("at").withColumn("id", F.monotonically_increasing_id()), "line-sets")
 
     post = sets.select("id", "n", "b", F.posexplode("p").alias("p", "x"))
@@ -145,8 +150,17 @@ def matched(docs: DataFrame) -> DataFrame:
     easy = C.materialize(found(x, y), "line-pairs")
     done = C.materialize(_verified(easy, sets, texts).select("id").distinct(), "line-done")
 
-    x, y = post.join(done, "id", "left_anti").alias("x"), post.alias("y")
-    hard = C.materialize(found(x, y).join(easy, ["id", "other"], "left_anti"), "line-pairs")
+    # both sides of the join are the same rows, so Spark shuffles them once: a set meets earlier ones below
+    # ``before`` only, its own number, or none if it is done
+    left = sets.join(done.withColumnRenamed("id", "done"), F.col("id") == F.col("done"), "left")
+    before = F.when(F.col("done").isNull(), F.col("id")).otherwise(-1).alias("before")
+    post = left.select("id", "n", "b", "m0", "m1", before, F.posexplode("p").alias("p", "x"))
+    x, y = post.alias("x"), post.alias("y")
+    apart = sum(F.bit_count(F.col(f"x.{m}").bitwiseXOR(F.col(f"y.{m}"))) for m in ("m0", "m1"))
+    wide = 9 * F.coalesce(apart, F.lit(0)) <= F.col("x.n") + F.col("y.n")
+    meet = x.join(y, (F.col("x.x") == F.col("y.x")) & (F.col("y.id") < F.col("x.before")) & _fits("x", "y") & wide)
+    hard = meet.select(F.col("x.id").alias("id"), F.col("y.id").alias("other")).distinct()
+    hard = C.materialize(hard.join(easy, ["id", "other"], "left_anti"), "line-pairs")
     more = _verified(hard, sets, texts).select("id").distinct()
     near = sets.select("id", "at.*").join(done.union(more), "id").select("d", "t", "i")
     # lines with a set met before; equal rows repeat the first line itself, which stays

@@ -206,6 +206,22 @@ def test_line_dedup_equals_brute_force(spark):
     assert linedup.dedup(docs.limit(0)).count() == 0
 
 
+def test_long_lines_that_differ_are_not_paired(spark, monkeypatch):
+    rng = random.Random(7)
+    lines = [" ".join(words(rng, 260, 3000)) for _ in range(60)]
+    near = [" ".join(["new", *line.split()[3:]]) for line in lines[:4]]
+    pairs, kept = [], linedup.C.materialize
+
+    def counted(df, name):
+        out = kept(df, name)
+        pairs.extend([out.count()] if name == "line-pairs" else [])
+        return out
+    monkeypatch.setattr(linedup.C, "materialize", counted)
+    out = {r.doc_id: r.text for r in linedup.dedup(docs_of(spark, lines + near)).collect()}
+    assert [out[k] for k in range(60)] == lines and all(out[60 + k] == "" for k in range(4))
+    assert len(pairs) == 2 and pairs[1] <= 30           # of the join of all that is left
+
+
 def test_decontamination_equals_brute_force(spark):
     rng = random.Random(12)
     items = [words(rng, n, 5000) for n in (5, 9, 20, 40, 40)]
