@@ -21,6 +21,8 @@ from .. import settings as S
 from ..functions import timefn as T
 from .recommend import ml_frame
 
+ROWS_PER_TASK = 10_000                  # at least, where the training set is dealt over more tasks than it came in
+FIT_MEMORY_MB = 64                      # of node statistics a task; only the number of passes depends on it
 FEATURES_NUM = ["hour", "weekday", "capacity"]
 FEATURES_CAT = ["commune", "station_id"]
 TARGET = "num_bikes_available"
@@ -63,7 +65,7 @@ def candidates(rf_trees: int = S.RF_TREES, rf_depth: int = S.RF_DEPTH, gbt_round
     return {
         "linear_regression": LinearRegression(regParam=0.0, **kw),
         "random_forest": RandomForestRegressor(numTrees=rf_trees, maxDepth=rf_depth, featureSubsetStrategy="all",
-                                               seed=S.SEED, **kw),
+                                               seed=S.SEED, maxMemoryInMB=FIT_MEMORY_MB, **kw),
         "gradient_boosting": GBTRegressor(maxIter=gbt_rounds, maxDepth=gbt_depth, stepSize=S.GBT_STEP,
                                           seed=S.SEED, **kw),
     }
@@ -73,12 +75,21 @@ def fit_and_compare(readings: DataFrame, stations: DataFrame, **params):
     """M3-M8: fit every candidate on the train split, score the test split.
     Returns (comparison DataFrame sorted by R2 desc, fitted models, test set)."""
     data = split_bucket(training_set(readings, stations)).withColumn(TARGET, F.col(TARGET).cast("double"))
-    train = data.filter(F.col("split") == "train").checkpoint(eager=True)
+    train = spread(data.filter(F.col("split") == "train").checkpoint(eager=True))
     test = data.filter(F.col("split") == "test").checkpoint(eager=True)
     fitted = {name: _features_pipeline(reg).fit(train) for name, reg in candidates(**params).items()}
     return compare(fitted, test), fitted, test
 
 
+def spread(train: DataFrame) -> DataFrame:
+    """The same rows dealt over the cores: a readings file of a few MB is one partition, and every pass of every
+    fit would run in one task. Sorted, since the forest draws its bootstrap by a row's place in its partition."""
+    tasks = min(train.sparkSession.sparkContext.defaultParallelism, train.count() // ROWS_PER_TASK)
+    if tasks <= train.rdd.getNumPartitions():
+        return train
+    return train.repartition(tasks, "station_id", "observed_at").sortWithinPartitions(*train.columns).checkpoint(eager=True)
+
+
 def compare(fitted: dict, test: DataFrame) -> DataFrame:
     """M7: MAE, RMSE and R2 of every model, each scored once, best R2 first."""
     scored = None

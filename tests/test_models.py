@@ -55,6 +55,16 @@ def test_split_and_unseen_category(fit):
         assert len(scored) == 3 and all(r.prediction is not None and sum(r.station_id_ohe.toArray()) == 0 for r in scored)
 
 
+def test_training_rows_are_dealt_over_the_cores(spark):
+    rows = spark.range(0, 40_000, 1, 1).selectExpr("cast(id % 700 as string) station_id", "timestamp_seconds(id) observed_at", "id y")
+    got = DM.spread(rows)
+    sizes = got.rdd.glom().map(len).collect()
+    assert len(sizes) == 4 and min(sizes) > 8_000
+    assert got.exceptAll(rows).count() == rows.exceptAll(got).count() == 0
+    assert DM.spread(rows).rdd.glom().collect() == got.rdd.glom().collect()
+    assert DM.spread(rows.limit(9_000)).rdd.getNumPartitions() == 1
+
+
 def test_saved_models_score_alike(spark, fit, scratch):
     comp, fitted, test = fit
     path = os.path.join(scratch, "m")
