@@ -20,6 +20,9 @@ SPEED_CONFS = {
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
 }
 
+# Removes the shuffle files of a query as soon as it ends; on for ``materialize`` only.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def build(master: str | None = None, app: str = "dockline", shuffle_partitions: int | None = None,
           extra: dict | None = None) -> SparkSession:
@@ -78,7 +81,17 @@ def shared_path(spark: SparkSession, name: str) -> str:
 def materialize(df, name: str):
     """Cut lineage by writing ``df`` as Parquet under the shared checkpoint
     folder and reading it back: one job, survives executor loss, and the
-    read is vectorised and prunable."""
-    path = shared_path(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)       # no job to find the schema
+    read is vectorised and prunable. Nothing reads the write's shuffle files
+    again, so they go with it and not when the driver next collects garbage."""
+    spark = df.sparkSession
+    path = shared_path(spark, name)
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.mode("overwrite").parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)       # no job to find the schema
