@@ -28,6 +28,11 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return SESSION.materialize(df, f"llm-{name}")
 
 
+def discard(*tables: DataFrame) -> None:
+    """Remove tables of ``materialize`` that nothing reads again."""
+    SESSION.discard(*tables)
+
+
 def own(df: DataFrame, taken, base: str) -> str:
     """A column name that neither ``df`` nor ``taken`` uses yet."""
     have = {c.lower() for c in df.columns} | {c.lower() for c in taken}

@@ -95,3 +95,13 @@ def materialize(df, name: str):
         else:
             spark.conf.set(SHUFFLE_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)       # no job to find the schema
+
+
+def discard(*tables) -> None:
+    """Remove the folders of tables that ``materialize`` returned. Only for tables that no later job reads: those a
+    caller may still have to compute from must stay."""
+    for df in tables:
+        spark = df.sparkSession
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(folder))
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -222,6 +222,29 @@ def test_long_lines_that_differ_are_not_paired(spark, monkeypatch):
     assert len(pairs) == 2 and pairs[1] <= 30           # of the join of all that is left
 
 
+def test_line_dedup_joins_in_parts_and_drops_its_tables(spark, monkeypatch, tmp_path):
+    rng = random.Random(8)
+    lines = [" ".join(words(rng, 30, 90)) for _ in range(50)]
+    docs = docs_of(spark, lines + [" ".join([*x.split()[:-1], "new"]) for x in lines[:9]])
+    names, rows, kept = [], [], linedup.C.materialize
+
+    def seen(df, name):
+        names.append(name)
+        out = kept(df, name)
+        rows.extend([out.count()] if name == "line-part" else [])
+        return out
+    monkeypatch.setattr(linedup.C, "materialize", seen)
+    monkeypatch.setattr(linedup.C.SESSION, "shared_path", lambda spark, name: f"{tmp_path}/a b/{name}-{len(names)}")
+    got = {}
+    for k in (1, 4):                                    # parts of the join of all that is left
+        monkeypatch.setattr(linedup, "SLICES", k)
+        del names[:], rows[:]
+        got[k] = linedup.dedup(docs).sort("doc_id").collect()
+        assert names.count("line-part") == k and sum(rows)
+        assert {x.rsplit("-", 1)[0] for x in os.listdir(f"{tmp_path}/a b")} == {"llm-line-matches"}
+    assert got[1] == got[4] and sum(r.n_removed for r in got[4]) == 9
+
+
 def test_decontamination_equals_brute_force(spark):
     rng = random.Random(12)
     items = [words(rng, n, 5000) for n in (5, 9, 20, 40, 40)]
