@@ -19,7 +19,8 @@ more, judged on the input, whether or not the earlier one goes itself.
    That settles most: a set needs one earlier match only, so a group of near copies costs
    comparisons as its size, not as its square.
 5. Sets still undecided are joined with all earlier sets by prefix, and verified. That join runs in ``SLICES``
-   parts, each over all sets and its share of the prefix words, so that disk holds the shuffle of one part only.
+   parts, each over all sets and its share of the prefix words, so that disk holds the shuffle of one part only; both
+   sides of a part are one shuffle.
 
 Only prefixes are shuffled. The words of a line are taken from its document again when
 one of its pairs is verified. Tables go as soon as nothing reads them again.
@@ -41,7 +42,7 @@ from . import common as C
 THRESHOLD = 0.8
 BUCKET_BITS = 16
 HASH_BITS = 57
-WIDE = 96
+WIDE = 64
 SLICES = 4
 
 
@@ -157,17 +158,20 @@ def matched(docs: DataFrame) -> DataFrame:
     C.discard(early)
     done = _verified(easy, sets, texts)
 
-    # a set that is done meets no earlier ones, but later ones meet it
-    todo = sets.join(done.select("id", F.lit(True).alias("done")), "id", "left").select("id", "n", "b", "m0", "m1", F.col("done").isNull().alias("open"), "p")
+    # a set that is done meets no earlier ones, but later ones meet it: s is its number, less than 0 if it is done. Both sides
+    # have the same columns and rows (the join would ask for an s in one of them only), so that one shuffle serves both
+    todo = sets.join(done.select("id", F.lit(True).alias("done")), "id", "left")
+    todo = todo.select(F.when(F.col("done").isNull(), F.col("id")).otherwise(-1 - F.col("id")).alias("s"), "n", "b", "m0", "m1", "p")
     todo = C.materialize(todo, "line-open")
     x, y = F.col("x.x"), F.col("y.x")
+    other = F.greatest(F.col("y.s"), -1 - F.col("y.s"))
     apart = sum(F.bit_count(F.col(f"x.{m}").bitwiseXOR(F.col(f"y.{m}"))) for m in ("m0", "m1"))
     wide = 9 * F.coalesce(apart, F.lit(0)) <= F.col("x.n") + F.col("y.n")
     parts = []
     for k in range(SLICES):
-        post = todo.select("id", "n", "b", "m0", "m1", "open", F.posexplode("p").alias("p", "x")).filter(F.pmod("x", F.lit(SLICES)) == k)
-        meet = post.filter("open").alias("x").join(post.alias("y"), (x == y) & (F.col("y.id") < F.col("x.id")) & _fits("x", "y") & wide)
-        parts.append(C.materialize(meet.select(F.col("x.id").alias("id"), F.col("y.id").alias("other")).distinct(), "line-part"))
+        post = todo.select("s", "n", "b", "m0", "m1", F.posexplode("p").alias("p", "x")).filter((F.pmod("x", F.lit(SLICES)) == k) & F.col("s").isNotNull())
+        meet = post.alias("x").join(post.alias("y"), (x == y) & (other < F.col("x.s")) & _fits("x", "y") & wide)
+        parts.append(C.materialize(meet.select(F.col("x.s").alias("id"), other.alias("other")).distinct(), "line-part"))
     C.discard(todo)
     hard = functools.reduce(DataFrame.union, parts).distinct()
     hard = C.materialize(hard.join(easy, ["id", "other"], "left_anti"), "line-pairs")

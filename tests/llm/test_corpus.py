@@ -245,6 +245,27 @@ def test_line_dedup_joins_in_parts_and_drops_its_tables(spark, monkeypatch, tmp_
     assert got[1] == got[4] and sum(r.n_removed for r in got[4]) == 9
 
 
+def test_line_dedup_shuffles_a_part_once(spark, monkeypatch):
+    rng = random.Random(9)
+    lines = [" ".join(words(rng, 30, 90)) for _ in range(50)]
+    plans, kept = [], linedup.C.materialize
+
+    def seen(df, name):
+        if name == "line-part":
+            df.collect()
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return kept(df, name)
+    monkeypatch.setattr(linedup.C, "materialize", seen)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = linedup.dedup(docs_of(spark, lines + [" ".join([*x.split()[:-1], "new"]) for x in lines[:9]])).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert sum(r.n_removed for r in out) == 9 and len(plans) == linedup.SLICES
+    assert all("ReusedExchange" in p for p in plans)
+
+
 def test_decontamination_equals_brute_force(spark):
     rng = random.Random(12)
     items = [words(rng, n, 5000) for n in (5, 9, 20, 40, 40)]
