@@ -429,6 +429,7 @@ def _fitted(spark, d):
         path = SESSION.shared_path(spark, "models")
         DM.save(path, *DM.fit_and_compare(_rd(spark, d), _st(spark, d)))
         spark.conf.set(key, path)
+        SESSION.tidy(spark)
     return DM.load(spark, path)
 
 

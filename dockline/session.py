@@ -1,6 +1,7 @@
 """Session helpers: one place for the settings every job relies on."""
 from __future__ import annotations
 
+import gc
 import os
 import uuid
 
@@ -105,3 +106,10 @@ def discard(*tables) -> None:
         for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
             path = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(folder))
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def tidy(spark: SparkSession) -> None:
+    """Free what a long job left in the driver, whose memory would otherwise grow from one to the next: Python
+    objects that refer to each other, then what they held in the JVM."""
+    gc.collect()
+    spark._jvm.java.lang.System.gc()

@@ -135,3 +135,41 @@ def test_wide_sets_are_grown_without_the_zeros(spark, monkeypatch):
     forest = fitted["random_forest"].stages[-1]
     assert forest.getNumTrees == 5 and len({t.toDebugString.partition("\n")[2] for t in forest.trees}) == 5
     assert max(t.depth for t in forest.trees) == 3 and fitted["gradient_boosting"].stages[-1].getNumTrees == 4
+
+
+def _boosting(**kw):
+    return GBTRegressor(maxIter=6, maxDepth=3, stepSize=0.1, seed=1, labelCol=DM.TARGET, featuresCol="features", **kw)
+
+
+@pytest.fixture(scope="module")
+def boosted(wide):
+    """Boosted trees grown here, and by Spark ML."""
+    encoders, train = wide
+    return [PipelineModel([*encoders.stages, m]) for m in
+            (_grown(wide, gradient_boosting=_boosting())["gradient_boosting"], _boosting().fit(encoders.transform(train)))]
+
+
+def test_importances_of_grown_trees(wide, boosted):
+    ours, theirs = (DM.feature_importance(m, wide[1]).collect() for m in boosted)
+    assert len(ours) == 15 and [(r["rank"], r.feature) for r in ours] == [(r["rank"], r.feature) for r in theirs]
+    assert [r.importance for r in ours] == pytest.approx([r.importance for r in theirs], abs=1e-9)
+    assert ours[0].importance > 0
+
+
+def test_grown_trees_score(spark, wide, boosted):
+    encoders, train = wide
+    test = train.dropDuplicates().limit(300).withColumn("observed_at", F.lit("2024-01-01").cast("timestamp"))
+    test = test.unionByName(test.limit(3).withColumn("station_id", F.lit("never seen")).withColumn("commune", F.lit("nowhere")))
+    test = test.checkpoint()
+    ours, theirs = ([r.predicted for r in DM.prediction_vs_actual(m, test).collect()] for m in boosted)
+    assert len(ours) == 303 and len(set(ours)) > 20 and ours == pytest.approx(theirs, abs=1e-9)
+
+    def forest():
+        return RandomForestRegressor(numTrees=7, maxDepth=6, seed=5, featureSubsetStrategy="all", labelCol=DM.TARGET, featuresCol="features")
+
+    one, other = (_grown((encoders, t), random_forest=forest())["random_forest"] for t in (train, train.repartition(5)))
+    scored = encoders.transform(test)
+    a, b = ([r.prediction for r in m.transform(scored).collect()] for m in (one, other))
+    assert a == b and one.getNumTrees == 7                                # however the rows are dealt
+    trees = [[r.prediction for r in t.transform(scored).collect()] for t in one.trees]
+    assert a == pytest.approx(np.mean(trees, 0)) and len({tuple(t) for t in trees}) == 7
