@@ -71,6 +71,10 @@ def _encoders() -> Pipeline:
     return Pipeline(stages=[idx, ohe, asm])
 
 
+def _features_pipeline(regressor) -> Pipeline:
+    return Pipeline(stages=[*_encoders().getStages(), regressor])
+
+
 def candidates(rf_trees: int = S.RF_TREES, rf_depth: int = S.RF_DEPTH, gbt_rounds: int = S.GBT_ROUNDS,
                gbt_depth: int = S.GBT_DEPTH) -> dict:
     kw = dict(featuresCol="features", labelCol=TARGET)
